@@ -1,0 +1,6 @@
+"""Named queries over the given tables, each with the SQL that states its result."""
+
+from tidegate.plans import delivery, landing, reports, streams
+
+QUERIES = {**landing.QUERIES, **delivery.QUERIES, **reports.QUERIES, **streams.QUERIES}
+ORACLES = {**landing.ORACLES, **delivery.ORACLES, **reports.ORACLES, **streams.ORACLES}
