@@ -12,16 +12,14 @@ it leads, and those summaries are composed like a running total.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import micros
-from tidegate.operators.ranking import SLOT_ROWS, with_arrival
-from tidegate.session import pinned
+from tidegate.operators.ranking import with_arrival
+from tidegate.session import pinned, stored
 
 MAX_SIZE = 1000
 MAX_WAIT_SECONDS = 300
@@ -38,7 +36,7 @@ def batches_by_size(messages: DataFrame, max_size: int = MAX_SIZE) -> DataFrame:
 def assign_batches(messages: DataFrame, max_size: int = MAX_SIZE,
                    max_wait_seconds: float | None = MAX_WAIT_SECONDS,
                    keys: list[str] | None = None, time: str = "enqueued_time",
-                   tie: list[str] | None = None, slot_rows: int = SLOT_ROWS,
+                   tie: list[str] | None = None, slot_rows: int | None = None,
                    chunk_rows: int = CHUNK_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """Add ``arrival`` (if missing) and ``batch_id`` per hub.
 
@@ -187,7 +185,7 @@ def batch_marks(arrivals: DataFrame, keys: list[str], max_size: int, max_wait: i
         chunk,
         F.when((place < max_size) & (chunk > 0), chunk - 1),
         F.when(place == chunk_rows - 1, chunk + 1)))
-    pieces = pinned(arrivals.withColumn("_chunk", F.explode(chunks)))
+    pieces = stored(arrivals.withColumn("_chunk", F.explode(chunks)), "chunks")
 
     summary = f"{key_ddl}, _node bigint, _exit array<bigint>, _made array<bigint>"
     levels = [pinned(pieces.groupBy(*keys, "_chunk").applyInPandas(

@@ -167,8 +167,9 @@ def read_control_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_checkpoints(rows: DataFrame, path: str) -> None:
-    """Append checkpoint rows. A repeated batch replaces its own rows."""
-    (rows.select(schema.CHECKPOINT_LOG.names).coalesce(1).write.mode("overwrite")
+    """Append checkpoint rows, one file per batch. A repeated batch replaces its own rows."""
+    (rows.select(schema.CHECKPOINT_LOG.names).repartition("run_id", "batch_id")
+     .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id")
      .parquet(path))
 

@@ -8,14 +8,18 @@ pure function of the row's own values, so a recomputed task lands in the same sl
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import micros
 from tidegate.session import broadcast_if_small, pinned, small_side
 
-#: Rows one window task should hold at most.
+#: Rows one window task should hold at most, and the fewest worth a task of their own.
 SLOT_ROWS = 1_000_000
+MIN_SLOT_ROWS = 25_000
 _ROUNDS = 12
 #: Stands for NULL when a range is cut, so that NULL sorts first here as in a window.
 _NULL_RANK = -(1 << 61)
@@ -36,75 +40,88 @@ def _as_long(df: DataFrame, name: str) -> Column:
     return F.coalesce(value, F.lit(_NULL_RANK))
 
 
-def slotted(df: DataFrame, keys: list[str], cut_on: list[str],
-            slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """Add ``_slot*`` columns that cut every group of ``keys`` with over ``slot_rows`` rows.
+def _task_rows(df: DataFrame, rows: int) -> int:
+    """Rows per slot that give every core work, within the bounds above."""
+    share = rows // df.sparkSession.sparkContext.defaultParallelism
+    return max(MIN_SLOT_ROWS, min(SLOT_ROWS, share))
+
+
+def _match(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Left join in which NULL keys match each other; the side's keys are dropped."""
+    renamed = side.withColumnsRenamed({c: f"_k_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in on])
+    return df.join(renamed, same, "left").drop(*[f"_k_{c}" for c in on])
+
+
+def slotted(df: DataFrame, keys: list[str], cut_on: list[str], slot_rows: int | None = None,
+            refine: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Cut every group of ``keys`` with over ``slot_rows`` rows into ascending slots.
 
-    ``cut_on`` are the leading order columns, times or whole numbers. Slots ascend with
-    them. Each round cuts the groups that are still too large on the first column that
-    varies inside them, so bursts and even one hot instant are split. Rows equal in all
-    of ``cut_on`` stay together. Nothing is added when no group is too large.
+    Returns the frame with ``_slot*`` columns, and the row counts per ``keys``, ``refine``
+    and slot. ``cut_on`` are the leading order columns, times or whole numbers. Each round
+    cuts the groups that are still too large on the first column that varies inside them,
+    so bursts and even one hot instant are split. Rows equal in all of ``cut_on`` stay
+    together. No column is added when no group is too large.
     """
     values = [_as_long(df, c) for c in cut_on]
-    for round_no in range(_ROUNDS):
-        group = keys + slot_columns(df)
-        stats = df.groupBy(group).agg(
+    lows, highs = ([f"_{end}{i}" for i in range(len(values))] for end in ("lo", "hi"))
+    for round_no in range(_ROUNDS + 1):
+        slots = slot_columns(df)
+        stats = pinned(df.groupBy(*keys, *(refine or []), *slots).agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.min(v).alias(f"_lo{i}") for i, v in enumerate(values)],
-            *[F.max(v).alias(f"_hi{i}") for i, v in enumerate(values)])
-        splittable = F.lit(False)
-        for i in range(len(values)):
-            splittable = splittable | (F.col(f"_lo{i}") < F.col(f"_hi{i}"))
+            *[F.min(v).alias(c) for v, c in zip(values, lows, strict=True)],
+            *[F.max(v).alias(c) for v, c in zip(values, highs, strict=True)]))
+        if slot_rows is None:
+            slot_rows = _task_rows(df, stats.agg(F.sum("_rows")).first()[0] or 0)
+        varies = reduce(or_, [F.col(lo) < F.col(hi) for lo, hi in zip(lows, highs, strict=True)])
         # At most rows / slot_rows groups are this large, so the side stays small.
-        hot = pinned(stats.where((F.col("_rows") > slot_rows) & splittable))
-        if hot.isEmpty():
+        hot = stats.groupBy(*keys, *slots).agg(
+            F.sum("_rows").alias("_rows"), *[F.min(c).alias(c) for c in lows],
+            *[F.max(c).alias(c) for c in highs]).where((F.col("_rows") > slot_rows) & varies)
+        if round_no == _ROUNDS or hot.isEmpty():
             break
         slot = F.lit(0).cast("bigint")
-        for i in reversed(range(len(values))):
-            parts = F.ceil(2 * F.col("_rows") / slot_rows)
-            width = F.ceil((F.col(f"_hi{i}") - F.col(f"_lo{i}") + 1) / parts)
-            cut = F.floor((values[i] - F.col(f"_lo{i}")) / F.greatest(width, F.lit(1)))
-            slot = F.when(F.col(f"_lo{i}") < F.col(f"_hi{i}"), cut).otherwise(slot)
-        df = (df.join(broadcast_if_small(hot), group, "left")
+        for value, lo, hi in reversed(list(zip(values, lows, highs, strict=True))):
+            width = F.ceil((F.col(hi) - F.col(lo) + 1) / F.ceil(2 * F.col("_rows") / slot_rows))
+            cut = F.floor((value - F.col(lo)) / F.greatest(width, F.lit(1)))
+            slot = F.when(F.col(lo) < F.col(hi), cut).otherwise(slot)
+        df = (_match(df, broadcast_if_small(hot), keys + slots)
               .withColumn(f"_slot{round_no}", F.coalesce(slot, F.lit(0)).cast("bigint"))
-              .drop(*[c for c in hot.columns if c not in group]))
-    return df
+              .drop("_rows", *lows, *highs))
+    return df, stats.drop(*lows, *highs)
 
 
 def ranked(df: DataFrame, ranks: dict[str, list[str]], order: list[str], cut_on: list[str],
-           slot_rows: int = SLOT_ROWS, keep_slots: bool = False) -> DataFrame:
+           slot_rows: int | None = None) -> DataFrame:
     """Add 0-based row numbers in ``order``, one per entry of ``ranks`` (name -> group keys).
 
     The first entry names the coarsest group; the others must refine it. All of them share
     one shuffle of the rows.
     """
-    coarse = next(iter(ranks.values()))
-    df = slotted(df, coarse, cut_on, slot_rows)
+    names = list(ranks)
+    coarse = ranks[names[0]]
+    refine = list(dict.fromkeys(k for keys in ranks.values() for k in keys if k not in coarse))
+    df, counts = slotted(df, coarse, cut_on, slot_rows, refine)
     slots = slot_columns(df)
-    base = {}
     if slots:
-        finest = list(dict.fromkeys(k for keys in ranks.values() for k in keys))
-        before = df.groupBy(finest + slots).agg(F.count(F.lit(1)).alias("_rows"))
-        for name, keys in ranks.items():
-            # One row per slot and key: bounded by rows / slot_rows times the refining keys.
-            counts = before.groupBy(keys + slots).agg(F.sum("_rows").alias("_rows"))
-            earlier = (Window.partitionBy(keys).orderBy(slots)
-                       .rowsBetween(Window.unboundedPreceding, -1))
-            prefix = counts.select(*keys, *slots, F.coalesce(
-                F.sum("_rows").over(earlier), F.lit(0)).alias(f"_before_{name}"))
-            base[name] = prefix
-        for name, keys in ranks.items():
-            df = df.join(small_side(base[name]), keys + slots, "inner")
+        # Rows up to and including a slot, less the slot itself.
+        through = {n: F.sum("_rows").over(Window.partitionBy(k).orderBy(slots).rangeBetween(
+            Window.unboundedPreceding, Window.currentRow)) for n, k in ranks.items()}
+        within = {n: F.sum("_rows").over(Window.partitionBy(k + slots)) for n, k in ranks.items()}
+        before = counts.select(*coarse, *refine, *slots, *[
+            (through[n] - within[n]).alias(f"_before_{n}") for n in names])
+        df = _match(df, small_side(before), coarse + refine + slots)
     for name, keys in ranks.items():
-        inside = F.row_number().over(Window.partitionBy(keys + slots).orderBy(order)) - 1
+        # Once the first number is there, it stands for the whole order.
+        by = order if name == names[0] else [names[0]]
+        inside = F.row_number().over(Window.partitionBy(keys + slots).orderBy(by)) - 1
         start = F.col(f"_before_{name}") if slots else F.lit(0)
         df = df.withColumn(name, (start + inside).cast("bigint"))
-    extra = [f"_before_{name}" for name in base]
-    return df.drop(*extra) if keep_slots else df.drop(*extra, *slots)
+    return df.drop(*[f"_before_{n}" for n in names], *slots)
 
 
 def with_arrival(messages: DataFrame, keys: list[str], time: str = "enqueued_time",
-                 tie: list[str] | None = None, slot_rows: int = SLOT_ROWS) -> DataFrame:
+                 tie: list[str] | None = None, slot_rows: int | None = None) -> DataFrame:
     """Number messages 0, 1, 2, ... per hub in order of time, then of ``tie``."""
     tie = tie or ["partition_id", "sequence_number"]
     numeric = [c for c in tie if messages.schema[c].dataType.typeName()

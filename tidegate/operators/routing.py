@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,21 +86,23 @@ def mapping_report(messages: DataFrame, mapping: DataFrame) -> DataFrame:
 def configuration_report(messages: DataFrame, hubs: DataFrame, targets: DataFrame,
                          mapping: DataFrame) -> DataFrame:
     """One row: how much is configured, how much of it is used, and whether all is valid."""
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
-
-    totals = mapping_report(messages, mapping).agg(
-        F.sum("routed").alias("routed"), F.sum("unroutable").alias("unroutable"))
-    parts = [count(hubs, "hubs_count"), count(targets, "targets_count"),
-             count(mapping, "mappings_count"),
-             count(hubs.join(mapping, "hub_key", "left_anti"), "unmapped_hubs"),
-             count(unmapped_targets(targets, mapping), "unmapped_targets"), totals]
-    # Every part is exactly one row, joined on a constant.
-    report = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        report = report.join(part.withColumn("_one", F.lit(1)), "_one")
-    return report.drop("_one").withColumn(
-        "valid", (F.col("unroutable") == 0) & (F.col("unmapped_hubs") == 0))
+    def measure(df: DataFrame, name: str, value="1") -> DataFrame:
+        return df.select(F.lit(name).alias("measure"), F.expr(value).cast("bigint").alias("n"))
+
+    report = mapping_report(messages, mapping)
+    counted = {
+        "hubs_count": measure(hubs, "hubs_count"),
+        "targets_count": measure(targets, "targets_count"),
+        "mappings_count": measure(mapping, "mappings_count"),
+        "unmapped_hubs": measure(hubs.join(mapping, "hub_key", "left_anti"), "unmapped_hubs"),
+        "unmapped_targets": measure(unmapped_targets(targets, mapping), "unmapped_targets"),
+        "routed": measure(report, "routed", "routed"),
+        "unroutable": measure(report, "unroutable", "unroutable")}
+    every = reduce(DataFrame.unionByName, counted.values())
+    totals = every.agg(*[
+        F.coalesce(F.sum(F.when(F.col("measure") == name, F.col("n"))), F.lit(0))
+        .cast("bigint").alias(name) for name in counted])
+    return totals.withColumn("valid", (F.col("unroutable") == 0) & (F.col("unmapped_hubs") == 0))
 
 
 def processing_plan(pending: DataFrame, mapping: DataFrame,

@@ -144,7 +144,7 @@ def bench_lineitem_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "lineitem")
     in_lanes(landed).write.parquet(path)
     return (checkpoints.batch_checkpoints(spark.read.parquet(path), frames.log_time())
-            .select("target_table", "partition_id", "batch_id", "waterlevel"))
+            .select("eventhub", "partition_id", "batch_id", "waterlevel"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -259,10 +259,12 @@ SELECT eventhub_namespace, eventhub, partition_id, sequence_number,
 SELECT ts_inserted, eventhub, partition_id, waterlevel FROM log
 ORDER BY ts_inserted DESC, eventhub, partition_id LIMIT 10""",
     "bench_lineitem_ingest": f"""WITH numbered AS (
-  SELECT CAST(l_orderkey % 8 AS VARCHAR) AS partition_id,
-    row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS arrival
+  SELECT 'lineitem_' || lower(l_returnflag) AS eventhub,
+    CAST(l_orderkey % 8 AS VARCHAR) AS partition_id,
+    row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber,
+      l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus) - 1
+      AS arrival
   FROM lineitem)
-SELECT 'LINEITEM' AS target_table, partition_id, arrival // {INGEST_BATCH} AS batch_id,
-  max(arrival) AS waterlevel FROM numbered GROUP BY partition_id, arrival // {INGEST_BATCH}""",
+SELECT eventhub, partition_id, arrival // {INGEST_BATCH} AS batch_id, max(arrival) AS waterlevel
+FROM numbered GROUP BY eventhub, partition_id, arrival // {INGEST_BATCH}""",
 }

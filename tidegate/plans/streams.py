@@ -17,10 +17,11 @@ from tidegate.streaming.sink import TableSink, read_target
 DRAIN = {"availableNow": True}
 
 
-def _hub(spark: SparkSession, sf_dir: str, folder: str, files: int = 4) -> DataFrame:
+def _hub(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events as a stored hub, read in as many files at a time as the cluster can hold."""
     path = f"{folder}/hub"
-    hub.write_hub(event_messages(spark, sf_dir), path, files)
-    return hub.file_hub(spark, path, max_files_per_trigger=files // 2)
+    hub.write_hub(event_messages(spark, sf_dir), path)
+    return hub.file_hub(spark, path, max(1, spark.sparkContext.defaultParallelism // 2))
 
 
 def _sink(folder: str, run_id: str = "run") -> TableSink:

@@ -5,8 +5,13 @@ from pyspark.sql import types as T
 _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_KINDS = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+          "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def struct(**columns: str) -> T.StructType:
+    """A schema from column names and type names; needs no running session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in columns.items()])
 
 
 #: What a hub delivers, one row per message.
@@ -23,14 +28,15 @@ MESSAGE = T.StructType([
 ])
 
 #: The seven columns a message is wrapped in, times still as text.
-ENVELOPE = _struct("""
-    event_body STRING, partition_id STRING, sequence_number BIGINT, enqueued_time STRING,
-    properties STRING, system_properties STRING, ingestion_timestamp STRING""")
+ENVELOPE = struct(
+    event_body="string", partition_id="string", sequence_number="bigint", enqueued_time="string",
+    properties="string", system_properties="string", ingestion_timestamp="string")
 
 #: A row of a target table.
-LANDED = _struct("""
-    event_body STRING, partition_id STRING, sequence_number BIGINT, enqueued_time TIMESTAMP_NTZ,
-    properties STRING, system_properties STRING, ingestion_timestamp TIMESTAMP_NTZ""")
+LANDED = struct(
+    event_body="string", partition_id="string", sequence_number="bigint",
+    enqueued_time="timestamp_ntz", properties="string", system_properties="string",
+    ingestion_timestamp="timestamp_ntz")
 
 #: Columns that name the hub and the target of a checkpoint, besides the partition.
 STREAM_KEY = ["eventhub_namespace", "eventhub", "target_db", "target_schema", "target_table"]
@@ -38,22 +44,24 @@ CHECKPOINT_KEY = STREAM_KEY + ["partition_id"]
 LANE_KEY = ["eventhub_namespace", "eventhub", "partition_id"]
 
 #: Append-only log of waterlevels.
-CHECKPOINT_LOG = _struct("""
-    ts_inserted TIMESTAMP_NTZ, eventhub_namespace STRING, eventhub STRING, target_db STRING,
-    target_schema STRING, target_table STRING, waterlevel BIGINT, partition_id STRING,
-    metadata STRING, run_id STRING, batch_id BIGINT""")
+CHECKPOINT_LOG = struct(
+    ts_inserted="timestamp_ntz", eventhub_namespace="string", eventhub="string",
+    target_db="string", target_schema="string", target_table="string", waterlevel="bigint",
+    partition_id="string", metadata="string", run_id="string", batch_id="bigint")
 
 #: One row per processed batch.
-BATCH_LOG = _struct("""
-    mapping_key STRING, channel STRING, batch_id BIGINT, message_count BIGINT, success BOOLEAN,
-    started_at TIMESTAMP_NTZ, finished_at TIMESTAMP_NTZ""")
+BATCH_LOG = struct(
+    mapping_key="string", channel="string", batch_id="bigint", message_count="bigint",
+    success="boolean", started_at="timestamp_ntz", finished_at="timestamp_ntz")
 
 #: One row per failure.
-ERROR_LOG = _struct("""
-    ts TIMESTAMP_NTZ, mapping_key STRING, error_type STRING, error STRING, message_count BIGINT,
-    attempt INT""")
-
-HUBS = _struct("n INT, hub_key STRING, eventhub_namespace STRING, eventhub STRING, "
-               "consumer_group STRING")
-TARGETS = _struct("n INT, target_key STRING, target_db STRING, target_schema STRING, "
-                  "target_table STRING, batch_size INT")
+ERROR_LOG = struct(
+    ts="timestamp_ntz", mapping_key="string", error_type="string", error="string",
+    message_count="bigint", attempt="int")
+
+HUBS = struct(
+    n="int", hub_key="string", eventhub_namespace="string", eventhub="string",
+    consumer_group="string")
+TARGETS = struct(
+    n="int", target_key="string", target_db="string", target_schema="string",
+    target_table="string", batch_size="int")

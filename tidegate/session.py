@@ -53,7 +53,14 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame of any size to the shared folder and read it back, column by column."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a stored join side as broadcast only when it is measured to be small.
 
@@ -61,12 +68,12 @@ def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     skew handling splits a hot key.
     """
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-                 for c in stored.columns), F.lit(0))
-    size = stored.agg(F.count(F.lit(1)).alias("n"),
+                 for c in side.columns), F.lit(0))
+    size = side.agg(F.count(F.lit(1)).alias("n"),
                       F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     if size.n <= max_rows and size.b <= max_bytes:
-        return F.broadcast(stored)
-    return stored
+        return F.broadcast(side)
+    return side
 
 
 def small_side(df: DataFrame) -> DataFrame:

@@ -59,10 +59,12 @@ def file_hub(spark: SparkSession, path: str, max_files_per_trigger: int | None =
     return reader.load(path)
 
 
-def write_hub(messages: DataFrame, path: str, files: int = 4) -> None:
+def write_hub(messages: DataFrame, path: str, files: int | None = None) -> None:
     """Store messages as files in order of time, to be streamed back by :func:`file_hub`."""
-    (messages.repartitionByRange(files, "enqueued_time")
-     .write.mode("errorifexists").parquet(path))
+    by = ["enqueued_time", "partition_id", "sequence_number"]
+    ranged = (messages.repartitionByRange(files, *by) if files
+              else messages.repartitionByRange(*by))
+    ranged.write.mode("errorifexists").parquet(path)
 
 
 def start_positions(latest: DataFrame, hub_partitions: DataFrame,

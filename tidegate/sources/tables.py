@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schema
-from tidegate.operators.ranking import SLOT_ROWS, ranked
+from tidegate.operators.ranking import ranked
 from tidegate.session import use_utc
 
 NAMESPACE = "ns.servicebus.windows.net"
@@ -31,7 +31,7 @@ def _system_properties():
     ).otherwise(F.create_map().cast("map<string,string>"))
 
 
-def event_messages(spark: SparkSession, sf_dir: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, slot_rows: int | None = None) -> DataFrame:
     """``events`` as hub messages: one hub per event type, four partitions each.
 
     Besides the message columns there is ``event_id`` and ``arrival``, the place of the
@@ -56,13 +56,13 @@ def event_messages(spark: SparkSession, sf_dir: str, slot_rows: int = SLOT_ROWS)
                            "event_id", "arrival")
 
 
-def lineitem_messages(spark: SparkSession, sf_dir: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """``lineitem`` as one large hub of eight partitions, in order of ship date."""
+def lineitem_messages(spark: SparkSession, sf_dir: str, slot_rows: int | None = None) -> DataFrame:
+    """``lineitem`` as a large hub per return flag, eight partitions each, by ship date."""
     items = table(spark, sf_dir, "lineitem")
     rest = [c for c in items.columns if c not in ("l_shipdate", "l_orderkey", "l_linenumber")]
     order = ["l_shipdate", "l_orderkey", "l_linenumber"] + rest
     keyed = items.select(
-        "*", F.lit("lineitem").alias("eventhub"),
+        "*", F.concat(F.lit("lineitem_"), F.lower("l_returnflag")).alias("eventhub"),
         (F.col("l_orderkey") % LINEITEM_PARTITIONS).cast("string").alias("partition_id"))
     numbered = ranked(keyed, {"arrival": ["eventhub"],
                               "sequence_number": ["eventhub", "partition_id"]},

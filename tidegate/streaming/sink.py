@@ -19,10 +19,10 @@ from tidegate.operators.routing import TARGET, route
 LANE_ROWS = 500_000
 
 #: Columns of a target table: the envelope, then where the row came from.
-STORED = T.StructType(schema.LANDED.fields + T.StructType.fromDDL("""
-    row_id STRING, offset STRING, eventhub_namespace STRING, eventhub STRING,
-    target_db STRING, target_schema STRING, consumer_group STRING, mapping_key STRING,
-    target_table STRING, run_id STRING, batch_id BIGINT""").fields)
+STORED = T.StructType(schema.LANDED.fields + schema.struct(
+    row_id="string", offset="string", eventhub_namespace="string", eventhub="string",
+    target_db="string", target_schema="string", consumer_group="string", mapping_key="string",
+    target_table="string", run_id="string", batch_id="bigint").fields)
 
 
 def prepare(messages: DataFrame, mapping: DataFrame) -> DataFrame:
