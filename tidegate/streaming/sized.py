@@ -51,7 +51,8 @@ def stream_batches(messages: DataFrame, max_size: int = MAX_SIZE,
     """Give each message of a stream the id of its size-or-age batch.
 
     The open batch of a hub is three numbers of state. ``clock`` also closes a batch by
-    processing time once a hub falls silent. A hub's rows of one trigger are handled by one
+    processing time once a hub falls silent; such a query keeps running, so drain with
+    ``clock=False``. A hub's rows of one trigger are handled by one
     task, so bound them with the source's rate limit; whole histories belong to
     ``assign_batches``. Pass only the ``columns`` needed, the payload need not come along.
     """
