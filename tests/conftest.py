@@ -11,7 +11,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.shuffle.partitions", "2")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")

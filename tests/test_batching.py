@@ -1,6 +1,7 @@
 from builders import START, frame, message
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidegate.operators import batching
 
@@ -35,7 +36,7 @@ def test_batch_of_one(spark):
     assert assigned(spark, [0, 1, 2], 1, 300) == [0, 1, 2]
 
 
-@settings(max_examples=12, deadline=None,
+@settings(max_examples=5, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(gaps=st.lists(st.integers(0, 9), min_size=1, max_size=120), max_size=st.integers(1, 9),
        max_wait=st.integers(1, 25), chunk=st.integers(2, 30), fan_in=st.integers(2, 4))
@@ -45,6 +46,22 @@ def test_chunks_give_the_same_batches(spark, gaps, max_size, max_wait, chunk, fa
                     slot_rows=25) == one_by_one(times, max_size, max_wait)
 
 
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(gaps=st.lists(st.integers(0, 9), min_size=2, max_size=60), max_size=st.integers(1, 9),
+       max_wait=st.integers(1, 25), cut=st.integers(1, 59))
+def test_second_half_continues_the_first(spark, gaps, max_size, max_wait, cut):
+    times = [sum(gaps[:i + 1]) for i in range(len(gaps))]
+    cut = min(cut, len(times) - 1)
+    df = frame(spark, [message("0", i, seconds=t) for i, t in enumerate(times)])
+    first = batching.assign_batches(df.where(F.col("sequence_number") < cut), max_size, max_wait)
+    left = batching.open_batches(first, max_size, max_wait)
+    second = batching.assign_batches(df.where(F.col("sequence_number") >= cut), max_size,
+                                     max_wait, opening=left, chunk_rows=12)
+    got = {r.sequence_number: r.batch_id for r in first.collect() + second.collect()}
+    assert [got[i] for i in range(len(times))] == one_by_one(times, max_size, max_wait)
+
+
 def test_many_chunks_and_levels(spark):
     times = [i * i % 97 + 100 * (i // 97) for i in range(2000)]
     times.sort()
@@ -52,7 +69,6 @@ def test_many_chunks_and_levels(spark):
 
 
 def test_last_added_is_not_the_highest(spark):
-    from pyspark.sql import functions as F
     df = frame(spark, [message("0", s, seconds=i) for i, s in enumerate([10, 15, 12, 20, 18])])
     df = df.withColumns({"arrival": F.unix_micros(F.col("enqueued_time").cast("timestamp")),
                          "batch_id": F.lit(0)})

@@ -15,15 +15,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(plans.QUERIES))
 def test_query_matches_sql(spark, name):
-    assert differences(plans.QUERIES[name](spark, SF), SF, plans.ORACLES[name]) == []
+    df = plans.QUERIES[name](spark, SF)
+    assert differences(df, SF, plans.ORACLES[name]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
-
-
-@pytest.mark.parametrize("name", [n for n in plans.QUERIES if not n.startswith("stream_")])
-def test_no_query_crosses_rows(spark, name):
-    plan = plans.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
-    assert "NestedLoop" not in plan

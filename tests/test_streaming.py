@@ -1,14 +1,11 @@
-import time
-
 import pytest
 from builders import START, frame, mapping, message
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidegate.operators import batching, checkpoints, replays
 from tidegate.sources import hub
 from tidegate.streaming import ingest
-from tidegate.streaming.sized import stream_batches
+from tidegate.streaming.sized import SizedBatches
 from tidegate.streaming.sink import TableSink, in_lanes, prepare, read_target
 
 DRAIN = {"availableNow": True}
@@ -158,50 +155,51 @@ def test_replays_inside_a_stream(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/out").count() == 20
 
 
-def test_sized_batches_in_a_stream(spark, tmp_path):
+def sized(spark, folder, sink, *files):
+    """Feed files one by one, each as a micro-batch of its own; batch id per message."""
+    for rows in files:
+        store(spark, f"{folder}/hub", rows)
+        query = (hub.file_hub(spark, f"{folder}/hub").writeStream.foreachBatch(sink)
+                 .option("checkpointLocation", f"{folder}/progress").trigger(**DRAIN).start())
+        query.awaitTermination()
+    return {(r.eventhub, r.sequence_number): r.batch_id
+            for r in spark.read.parquet(f"{folder}/out").collect()}
+
+
+def test_sized_batches_across_micro_batches(spark, tmp_path):
     folder = str(tmp_path)
     gaps = [1, 1, 30, 2, 2, 2, 2, 50, 1, 70, 70, 1, 1, 1, 1, 1, 1, 1, 5, 40, 1]
     times = [sum(gaps[:i + 1]) for i in range(len(gaps))]
-    rows = [message("0", i, hub="a", seconds=t) for i, t in enumerate(times)]
-    store(spark, f"{folder}/hub", rows[:8], rows[8:15], rows[15:])
-    out = stream_batches(hub.file_hub(spark, f"{folder}/hub", 1), 5, 60, clock=False)
-    query = (out.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
-             .trigger(**DRAIN).start(f"{folder}/out"))
-    assert query.awaitTermination(60)
-    got = {r.sequence_number: r.batch_id for r in spark.read.parquet(f"{folder}/out").collect()}
-    batch = batching.assign_batches(frame(spark, rows), 5, 60).collect()
-    assert got == {r.sequence_number: r.batch_id for r in batch}
-
-
-def landed_by(spark, path, rows, seconds=40):
-    """Wait until ``rows`` rows are in ``path``."""
-    end = time.monotonic() + seconds
-    while time.monotonic() < end:
-        try:
-            got = spark.read.parquet(path).collect()
-        except AnalysisException:       # nothing written yet
-            got = []
-        if len(got) >= rows:
-            return {r.sequence_number: r.batch_id for r in got}
-        time.sleep(0.3)
-    raise AssertionError(f"{path} did not reach {rows} rows")
+    a = [message("0", i, hub="a", seconds=t) for i, t in enumerate(times)]
+    b = [message("0", i, hub="b", seconds=t) for i, t in enumerate(times[:6])]
+    sink = SizedBatches(f"{folder}/out", f"{folder}/state", 5, 60)
+    got = sized(spark, folder, sink, a[:2] + b[:5], a[2:8], a[8:9], a[9:15] + b[5:], a[15:])
+    whole = batching.assign_batches(frame(spark, a + b), 5, 60).collect()
+    assert got == {(r.eventhub, r.sequence_number): r.batch_id for r in whole}
+
+
+def test_replayed_micro_batch_gets_the_same_numbers(spark, tmp_path):
+    rows = frame(spark, [message("0", i, hub="a", seconds=i) for i in range(8)])
+    sink = SizedBatches(str(tmp_path / "out"), str(tmp_path / "state"), 3, 60)
+    for n, part in enumerate([rows.where("sequence_number < 4"),
+                              rows.where("sequence_number >= 4"),
+                              ]):
+        sink(part, n)
+        sink(part, n)
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("sequence_number").collect()
+    assert [r.batch_id for r in got] == [0, 0, 0, 1, 1, 1, 2, 2]
+    with pytest.raises(RuntimeError):
+        sink(rows, 5)
 
 
 def test_silent_hub_is_closed_by_the_clock(spark, tmp_path):
-    folder = str(tmp_path)
-    store(spark, f"{folder}/hub", [message("0", 0, hub="a", seconds=0)])
-    out = stream_batches(hub.file_hub(spark, f"{folder}/hub", 1), 100, 1)
-    query = (out.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
-             .trigger(processingTime="200 milliseconds").start(f"{folder}/out"))
-    try:
-        landed_by(spark, f"{folder}/out", 1)
-        query.awaitTermination(6)
-        # By its own stamp this message is no second later, but the first batch is closed.
-        store(spark, f"{folder}/hub", [message("0", 1, hub="a", seconds=0)])
-        got = landed_by(spark, f"{folder}/out", 2)
-    finally:
-        query.stop()
-    assert got == {0: 0, 1: 1}
+    later = F.lit(START).cast("timestamp_ntz") + F.expr("INTERVAL 2 MINUTES")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for sink in (SizedBatches(out, state, 100, 60, now=later), SizedBatches(out, state, 100, 60)):
+        for n in range(2):
+            sink(frame(spark, [message("0", n, hub="a", seconds=n)]), n)
+        got = {r.sequence_number: r.batch_id for r in spark.read.parquet(out).collect()}
+        assert got == ({0: 0, 1: 1} if sink.now is not None else {0: 0, 1: 0})
 
 
 def test_kafka_records_become_messages(spark):

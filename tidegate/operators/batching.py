@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.text import micros
 from tidegate.operators.ranking import with_arrival
-from tidegate.session import pinned, stored
+from tidegate.session import pinned, small_side, stored
 
 MAX_SIZE = 1000
 MAX_WAIT_SECONDS = 300
+NO_WAIT = 1 << 60
 CHUNK_ROWS = 1_000_000
 #: Chunk summaries composed by one task.
 FAN_IN = 256
@@ -37,19 +38,23 @@ def assign_batches(messages: DataFrame, max_size: int = MAX_SIZE,
                    max_wait_seconds: float | None = MAX_WAIT_SECONDS,
                    keys: list[str] | None = None, time: str = "enqueued_time",
                    tie: list[str] | None = None, slot_rows: int | None = None,
-                   chunk_rows: int = CHUNK_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+                   chunk_rows: int = CHUNK_ROWS, fan_in: int = FAN_IN,
+                   opening: DataFrame | None = None) -> DataFrame:
     """Add ``arrival`` (if missing) and ``batch_id`` per hub.
 
     Arrival must follow ``time``. ``max_wait_seconds=None`` leaves out the age bound.
+    ``opening`` holds batches that earlier messages left open: the keys, ``batch_id``, the
+    messages ``held`` and the time of creation ``created`` in microseconds.
     """
     keys = keys or ["eventhub"]
     if "arrival" not in messages.columns:
         messages = with_arrival(messages, keys, time, tie, slot_rows)
-    if max_wait_seconds is None:
+    if max_wait_seconds is None and opening is None:
         return batches_by_size(messages, max_size)
-    chunk_rows = max(chunk_rows, max_size)
+    max_wait = NO_WAIT if max_wait_seconds is None else int(max_wait_seconds * 1_000_000)
+    chunk_rows = max(chunk_rows, max_size + 1)
     marks = batch_marks(messages.select(*keys, "arrival", micros(time).alias("_t")), keys,
-                        max_size, int(max_wait_seconds * 1_000_000), chunk_rows, fan_in)
+                        max_size, max_wait, chunk_rows, fan_in, opening)
     return _spread(messages, marks, keys, chunk_rows)
 
 
@@ -70,8 +75,8 @@ def _spread(messages: DataFrame, marks: DataFrame, keys: list[str],
 # --- boundaries ----------------------------------------------------------------------------
 # A batch that starts at message s was created when message s-1 arrived, so s alone decides
 # where it ends. Let next(s) be the start that follows. next(s) <= s + max_size, so the first
-# start inside a chunk is one of its first max_size positions: a chunk is a function from that
-# entry offset to the entry offset of the following chunk and the number of batches between.
+# start inside a chunk has an offset of max_size at most: a chunk is a function from that entry
+# offset to the entry offset of the following chunk and the number of batches between.
 
 
 def _next_starts(arrival: np.ndarray, t: np.ndarray, lo: int, hi: int, max_size: int,
@@ -105,7 +110,7 @@ def _chunk_summary(keys: list[str], max_size: int, max_wait: int, chunk_rows: in
             via = target[inside]
             made[inside] += made[via]
             target[inside] = target[via]
-        entries = min(max_size, size)
+        entries = min(max_size + 1, size)
         return pd.DataFrame([{
             **{k: rows[k].iloc[0] for k in keys}, "_node": chunk,
             "_exit": target[:entries] - chunk_rows, "_made": made[:entries]}])
@@ -172,7 +177,8 @@ def _chunk_marks(keys: list[str], max_size: int, max_wait: int, chunk_rows: int)
 
 
 def batch_marks(arrivals: DataFrame, keys: list[str], max_size: int, max_wait: int,
-                chunk_rows: int = CHUNK_ROWS, fan_in: int = FAN_IN) -> DataFrame:
+                chunk_rows: int = CHUNK_ROWS, fan_in: int = FAN_IN,
+                opening: DataFrame | None = None) -> DataFrame:
     """The first message of every batch, and the batch open at the start of every chunk.
 
     ``arrivals`` holds the keys, ``arrival`` and the time ``_t`` in microseconds. Tasks hold
@@ -196,7 +202,13 @@ def batch_marks(arrivals: DataFrame, keys: list[str], max_size: int, max_wait: i
             _compose(keys, fan_in), summary)))
 
     zero = F.lit(0).cast("bigint")
-    entry = levels.pop().select(*keys, "_node", zero.alias("_at"), zero.alias("_batch"))
+    entry = levels.pop().select(*keys, "_node")
+    if opening is None:
+        entry = entry.withColumns({"_at": zero, "_batch": zero})
+    else:
+        first = _first_starts(arrivals, keys, max_size, max_wait, opening)
+        entry = (entry.join(first, keys, "left")
+                 .withColumns({c: F.coalesce(c, zero) for c in ("_at", "_batch")}))
     while levels:
         inner = levels.pop().withColumn("_parent", parent)
         outer = entry.withColumnRenamed("_node", "_parent")
@@ -209,6 +221,54 @@ def batch_marks(arrivals: DataFrame, keys: list[str], max_size: int, max_wait: i
                 f"arrival bigint, batch_id bigint, {key_ddl}"))
 
 
+def _first_starts(arrivals: DataFrame, keys: list[str], max_size: int, max_wait: int,
+                  opening: DataFrame) -> DataFrame:
+    """Where the first new batch starts after the one left open, and its id."""
+    opening = small_side(opening.select(*keys, "batch_id", "held", "created"))
+    aged = (arrivals.join(opening, keys)
+            .where(F.col("_t") >= F.col("created") + max_wait)
+            .groupBy(*keys).agg(F.min("arrival").alias("_aged")))
+    return (opening.join(aged, keys, "left")
+            .select(*keys, F.least(max_size - F.col("held"), F.col("_aged") + 1)
+                    .cast("bigint").alias("_at"),
+                    (F.col("batch_id") + 1).alias("_batch")))
+
+
+def open_batches(batched: DataFrame, max_size: int, max_wait_seconds: float | None,
+                 keys: list[str] | None = None, time: str = "enqueued_time",
+                 opening: DataFrame | None = None) -> DataFrame:
+    """The batches that ``batched`` leaves open, in the form ``assign_batches`` takes."""
+    keys = keys or ["eventhub"]
+    max_wait = NO_WAIT if max_wait_seconds is None else int(max_wait_seconds * 1_000_000)
+    sizes = batched.groupBy(*keys, "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min(micros(time)).alias("first_t"),
+        F.max(micros(time)).alias("last_t"))
+    # The newest batch was created when the one before it closed.
+    newest = sizes.groupBy(*keys).agg(F.max("batch_id").alias("newest"))
+    ends = sizes.join(small_side(newest), keys).where(F.col("batch_id") >= F.col("newest") - 1)
+    is_newest = F.col("batch_id") == F.col("newest")
+    state = ends.groupBy(*keys).agg(
+        F.max("newest").alias("batch_id"), F.max(F.when(is_newest, F.col("n"))).alias("held"),
+        F.max(F.when(is_newest, F.col("last_t"))).alias("last_t"),
+        F.coalesce(F.max(F.when(~is_newest, F.col("last_t"))),
+                   F.min("first_t")).alias("created"))
+    if opening is not None:
+        before = opening.select(*keys, F.col("batch_id").alias("_b"), F.col("held").alias("_h"),
+                                F.col("created").alias("_c"))
+        same = F.col("_b") == F.coalesce("batch_id", "_b")
+        state = state.join(before, keys, "full").select(
+            *keys, F.coalesce("batch_id", "_b").alias("batch_id"),
+            (F.coalesce("held", F.lit(0)) + F.when(same, F.col("_h")).otherwise(0))
+            .alias("held"), F.coalesce("last_t", "_c").alias("last_t"),
+            F.when(same, F.col("_c")).otherwise(F.col("created")).alias("created"))
+    closed = ((F.col("held") >= max_size)
+              | ((F.col("held") > 0) & (F.col("last_t") - F.col("created") >= max_wait)))
+    return state.select(
+        *keys, F.when(closed, F.col("batch_id") + 1).otherwise(F.col("batch_id")).alias("batch_id"),
+        F.when(closed, F.lit(0)).otherwise(F.col("held")).cast("bigint").alias("held"),
+        F.when(closed, F.col("last_t")).otherwise(F.col("created")).alias("created"))
+
+
 # --- summaries -----------------------------------------------------------------------------
 
 

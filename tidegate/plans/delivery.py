@@ -155,7 +155,7 @@ QUERIES = {f.__name__: f for f in (
     recent_checkpoints_topk, bench_lineitem_ingest)}
 
 
-def _sized(max_size: int, seconds: int) -> str:
+def sized_steps(max_size: int, seconds: int) -> str:
     """Size-or-age batches, one message after the other."""
     return f"""{MSGS},
 clocked AS (SELECT eventhub, arrival, epoch_us(enqueued_time) AS t FROM msgs),
@@ -191,10 +191,10 @@ ORACLES = {
     "batch_by_size": f"""WITH {MSGS}
 SELECT eventhub, arrival // {BATCH} AS batch_id, {_SUMMARY}
 FROM msgs GROUP BY eventhub, arrival // {BATCH}""",
-    "batch_by_size_or_age": f"""WITH RECURSIVE {_sized(BATCH, DAY)}
+    "batch_by_size_or_age": f"""WITH RECURSIVE {sized_steps(BATCH, DAY)}
 SELECT eventhub, batch_id, {_SUMMARY}
 FROM steps JOIN msgs USING (eventhub, arrival) GROUP BY eventhub, batch_id""",
-    "batch_assignment": f"""WITH RECURSIVE {_sized(50, DAY // 4)}
+    "batch_assignment": f"""WITH RECURSIVE {sized_steps(50, DAY // 4)}
 SELECT eventhub, event_id, arrival, batch_id FROM steps JOIN msgs USING (eventhub, arrival)""",
     "last_vs_max_sequence": f"""WITH {MSGS},
 seen AS (SELECT *, arrival // {BATCH} AS batch_id, arrival + event_id % 7 * 10000000 AS seen

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import checkpoints
-from tidegate.plans import frames
+from tidegate.plans import delivery, frames
 from tidegate.plans.frames import ROUTED
 from tidegate.session import fresh_dir
 from tidegate.sources import hub
 from tidegate.sources.tables import event_messages
 from tidegate.streaming import ingest
+from tidegate.streaming.sized import SizedBatches
 from tidegate.streaming.sink import TableSink, read_target
 
 DRAIN = {"availableNow": True}
@@ -63,7 +64,20 @@ def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("sequence_number").alias("last_sequence")))
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest, stream_checkpoints, stream_multi_target)}
+def stream_sized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size-or-age batches of everything a stored hub holds, as one micro-batch."""
+    folder = fresh_dir(spark, "sized")
+    hub.write_hub(event_messages(spark, sf_dir), f"{folder}/hub")
+    sink = SizedBatches(f"{folder}/out", f"{folder}/state", frames.BATCH, delivery.DAY)
+    query = (hub.file_hub(spark, f"{folder}/hub").writeStream.foreachBatch(sink)
+             .option("checkpointLocation", f"{folder}/progress").trigger(**DRAIN).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(
+        "eventhub", "partition_id", "sequence_number", "batch_id")
+
+
+QUERIES = {f.__name__: f for f in (stream_ingest, stream_checkpoints, stream_multi_target,
+                                   stream_sized_batches)}
 
 ORACLES = {
     "stream_ingest": f"""WITH {ROUTED}
@@ -74,6 +88,9 @@ FROM routed""",
     "stream_checkpoints": f"""WITH {ROUTED}
 SELECT eventhub_namespace, eventhub, target_table, partition_id, max(event_id) AS waterlevel
 FROM routed GROUP BY eventhub_namespace, eventhub, target_table, partition_id""",
+    "stream_sized_batches": f"""WITH RECURSIVE {delivery.sized_steps(frames.BATCH, delivery.DAY)}
+SELECT eventhub, partition_id, sequence_number, batch_id
+FROM steps JOIN msgs USING (eventhub, arrival)""",
     "stream_multi_target": f"""WITH {ROUTED}
 SELECT target_table, split_part(mapping_key, '->', 1) AS run_id, eventhub, count(*) AS landed,
   count(DISTINCT partition_id || '_' || sequence_number) AS row_ids,

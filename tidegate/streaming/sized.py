@@ -1,68 +1,70 @@
-"""Exact size-or-age batches inside a running stream."""
+"""Exact size-or-age batches across the micro-batches of a stream."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidegate.functions.text import micros
-from tidegate.operators.batching import MAX_SIZE, MAX_WAIT_SECONDS
+from tidegate.operators.batching import (MAX_SIZE, MAX_WAIT_SECONDS, assign_batches,
+                                         open_batches)
 
-_STATE = "batch_id bigint, held bigint, created bigint, opened_ms bigint"
 
+@dataclass
+class SizedBatches:
+    """``foreachBatch`` callback that numbers size-or-age batches and stores the rows.
 
-def _assign(max_size: int, max_wait: int, key: str, columns: list[str], clock: bool):
-    def assign(group: tuple, chunks: Iterator[pd.DataFrame],
-               state: GroupState) -> Iterator[pd.DataFrame]:
-        now_ms = state.getCurrentProcessingTimeMs() if clock else 0
-        if state.hasTimedOut:
-            # The age bound passed with nothing arriving: close the open batch.
-            batch, held, created, opened = state.get
-            if held:
-                state.update((batch + 1, 0, created + max_wait, now_ms))
-            return
-        rows = pd.concat(chunks).sort_values(["_t", "_tie"], kind="stable")
-        batch, held, created, opened = (state.get if state.exists
-                                        else (0, 0, int(rows["_t"].iloc[0]), now_ms))
-        ids = []
-        for t in rows["_t"]:
-            ids.append(batch)
-            held += 1
-            if held >= max_size or t - created >= max_wait:
-                batch, held, created, opened = batch + 1, 0, int(t), now_ms
-        state.update((batch, held, created, opened))
-        if clock and held:
-            state.setTimeoutDuration(max(1, opened + max_wait // 1000 - now_ms))
-        out = rows[columns].copy()
-        out["batch_id"] = ids
-        out[key] = group[0]
-        yield out
-    return assign
+    A micro-batch is numbered by the batch operator, so a busy hub is spread over tasks. What
+    it leaves open, three numbers per hub, is kept per micro-batch; a replay starts from the
+    same state and rewrites the same rows. A micro-batch must not hold messages older than
+    those before it. Rows never wait for a batch to fill: the trigger delivers them, the id
+    tells which batch they belong to.
+    """
 
+    path: str
+    state: str
+    max_size: int = MAX_SIZE
+    max_wait_seconds: float = MAX_WAIT_SECONDS
+    keys: list[str] = field(default_factory=lambda: ["eventhub"])
+    time: str = "enqueued_time"
+    #: The clock that closes the batch of a hub that fell silent; ``None`` leaves it open
+    #: until the next message.
+    now: Column | None = None
 
-def stream_batches(messages: DataFrame, max_size: int = MAX_SIZE,
-                   max_wait_seconds: float = MAX_WAIT_SECONDS, key: str = "eventhub",
-                   time: str = "enqueued_time", tie: str = "sequence_number",
-                   columns: list[str] | None = None, clock: bool = True) -> DataFrame:
-    """Give each message of a stream the id of its size-or-age batch.
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        opening = self._opening(rows.sparkSession, batch_id)
+        rows = rows.persist()       # the boundaries need several passes over the source
+        try:
+            self._number(rows, batch_id, opening)
+        finally:
+            rows.unpersist()
 
-    The open batch of a hub is three numbers of state. ``clock`` also closes a batch by
-    processing time once a hub falls silent; such a query keeps running, so drain with
-    ``clock=False``. A hub's rows of one trigger are handled by one
-    task, so bound them with the source's rate limit; whole histories belong to
-    ``assign_batches``. Pass only the ``columns`` needed, the payload need not come along.
-    """
-    columns = columns or ["partition_id", tie]
-    kept = list(dict.fromkeys(c for c in columns if c != key))
-    narrow = messages.select(key, *kept, micros(time).alias("_t"), F.col(tie).alias("_tie"))
-    fields = ", ".join(f"`{c}` {messages.schema[c].dataType.simpleString()}" for c in kept)
-    kind = messages.schema[key].dataType.simpleString()
-    timeout = (GroupStateTimeout.ProcessingTimeTimeout if clock
-               else GroupStateTimeout.NoTimeout)
-    return narrow.groupBy(key).applyInPandasWithState(
-        _assign(max_size, int(max_wait_seconds * 1_000_000), key, kept, clock),
-        f"{fields}, batch_id bigint, `{key}` {kind}", _STATE, "append", timeout)
+    def _number(self, rows: DataFrame, batch_id: int, opening: DataFrame | None) -> None:
+        numbered = assign_batches(rows, self.max_size, self.max_wait_seconds, self.keys,
+                                  self.time, opening=opening)
+        folder = f"{self.path}/micro_batch={batch_id}"
+        numbered.write.mode("overwrite").parquet(folder)
+        written = rows.sparkSession.read.schema(numbered.schema).parquet(folder)
+        left = open_batches(written, self.max_size, self.max_wait_seconds, self.keys, self.time,
+                            opening)
+        left.write.mode("overwrite").parquet(f"{self.state}/micro_batch={batch_id}")
+
+    def _opening(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        if batch_id == 0:
+            return None
+        try:
+            left = spark.read.parquet(f"{self.state}/micro_batch={batch_id - 1}")
+        except AnalysisException as error:
+            raise RuntimeError(f"state of micro-batch {batch_id - 1} is missing") from error
+        if self.now is None:
+            return left
+        silent = ((F.col("held") > 0)
+                  & (micros(self.now) - F.col("created") >= int(self.max_wait_seconds * 1e6)))
+        return left.select(
+            *self.keys,
+            F.when(silent, F.col("batch_id") + 1).otherwise(F.col("batch_id")).alias("batch_id"),
+            F.when(silent, F.lit(0)).otherwise(F.col("held")).cast("bigint").alias("held"),
+            F.when(silent, micros(self.now)).otherwise(F.col("created")).alias("created"))
