@@ -34,6 +34,18 @@ def test_absent_and_empty_properties_are_null(spark):
     assert json.loads(got[2]) == {"a": "1", "b": None}
 
 
+def test_malformed_properties(spark):
+    bad = b"v\xff\xe2\x82x"
+    df = spark.createDataFrame([({b"k": bad},)], "properties map<binary,binary>").select(
+        "*", F.lit(b"").alias("body"), F.lit("0").alias("partition_id"),
+        F.lit(1).alias("sequence_number"), F.lit(None).cast("timestamp_ntz").alias("enqueued_time"),
+        F.transform_values(F.transform_keys("properties", lambda k, _: k.cast("string")),
+                           lambda _, v: v.cast("string")).alias("system_properties"))
+    row = envelope.to_landed(df).first()
+    expected = {"k": bad.decode("utf-8", errors="replace")}
+    assert json.loads(row.properties) == json.loads(row.system_properties) == expected
+
+
 def test_iso_text_matches_python(spark):
     times = [datetime(2024, 2, 29, 1, 2, 3), datetime(2024, 2, 29, 1, 2, 3, 40), None]
     df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")

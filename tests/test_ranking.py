@@ -47,14 +47,15 @@ def test_row_numbers_equal_a_plain_count(spark, shape):
 
 @pytest.mark.parametrize("shape", ["spread", "one_instant", "burst", "hot_hub"])
 def test_slots_stay_small(spark, shape):
-    df, counts = slotted(spark.createDataFrame(shapes()[shape], DDL), ["hub"], ["t", "id"], 20)
+    df, counts, parts = slotted(spark.createDataFrame(shapes()[shape], DDL), ["hub"], ["t", "id"], 20)
     sizes = [r["count"] for r in df.groupBy("hub", *slot_columns(df)).count().collect()]
     assert max(sizes) <= 20
+    assert counts.count() == parts
     assert counts.agg({"_rows": "sum"}).first()[0] == df.count()
 
 
 def test_nothing_is_cut_when_groups_are_small(spark):
-    df, _ = slotted(spark.createDataFrame(shapes()["spread"], DDL), ["hub"], ["t"], 1000)
+    df, _, _ = slotted(spark.createDataFrame(shapes()["spread"], DDL), ["hub"], ["t"], 1000)
     assert not slot_columns(df)
 
 

@@ -28,10 +28,14 @@ def clean_list_map(value: Column | str) -> Column:
                               lambda _, v: clean_list(v))
 
 
-def properties_json(value: Column | str) -> Column:
-    """JSON text of a property map; absent and empty maps both give NULL."""
+def properties_json(value: Column | str, of_bytes: bool = False) -> Column:
+    """JSON text of a property map; absent and empty maps both give NULL.
+
+    Text is written with malformed parts replaced already; maps ``of_bytes`` are decoded first.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    return F.when(F.size(value) > 0, F.to_json(clean_map(value), {"ignoreNullFields": "false"}))
+    decoded = clean_map(value) if of_bytes else value
+    return F.when(F.size(value) > 0, F.to_json(decoded, {"ignoreNullFields": "false"}))
 
 
 def iso_timestamp(value: Column | str) -> Column:

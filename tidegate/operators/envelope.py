@@ -10,6 +10,12 @@ from tidegate.functions import labels
 from tidegate.functions.text import clean_text, iso_timestamp, properties_json, utc_now
 
 
+def _json(messages: DataFrame, column: str) -> Column:
+    kind = messages.schema[column].dataType
+    of_bytes = "binary" in (kind.keyType.typeName(), kind.valueType.typeName())
+    return properties_json(column, of_bytes).alias(column)
+
+
 def guarded(messages: DataFrame) -> DataFrame:
     """Keep messages that have a sequence number."""
     return messages.where(F.col("sequence_number").isNotNull())
@@ -34,8 +40,8 @@ def to_envelope(messages: DataFrame, keep: list[str] | None = None,
         "partition_id",
         "sequence_number",
         iso_timestamp("enqueued_time").alias("enqueued_time"),
-        properties_json("properties").alias("properties"),
-        properties_json("system_properties").alias("system_properties"),
+        _json(messages, "properties"),
+        _json(messages, "system_properties"),
         iso_timestamp(stamp if stamp is not None else F.current_timestamp())
         .alias("ingestion_timestamp"))
 
@@ -78,8 +84,8 @@ def to_landed(messages: DataFrame, keep: list[str] | None = None,
         "partition_id",
         F.col("sequence_number").cast("bigint").alias("sequence_number"),
         F.col("enqueued_time").cast("timestamp_ntz").alias("enqueued_time"),
-        properties_json("properties").alias("properties"),
-        properties_json("system_properties").alias("system_properties"),
+        _json(messages, "properties"),
+        _json(messages, "system_properties"),
         (stamp if stamp is not None else utc_now()).alias("ingestion_timestamp"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import micros
-from tidegate.session import broadcast_if_small, pinned, small_side
+from tidegate.session import BROADCAST_MAX_ROWS, pinned
 
 #: Rows one window task should hold at most, and the fewest worth a task of their own.
 SLOT_ROWS = 1_000_000
@@ -54,41 +54,45 @@ def _match(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
 
 
 def slotted(df: DataFrame, keys: list[str], cut_on: list[str], slot_rows: int | None = None,
-            refine: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+            refine: list[str] | None = None) -> tuple[DataFrame, DataFrame, int]:
     """Cut every group of ``keys`` with over ``slot_rows`` rows into ascending slots.
 
-    Returns the frame with ``_slot*`` columns, and the row counts per ``keys``, ``refine``
-    and slot. ``cut_on`` are the leading order columns, times or whole numbers. Each round
-    cuts the groups that are still too large on the first column that varies inside them,
-    so bursts and even one hot instant are split. Rows equal in all of ``cut_on`` stay
-    together. No column is added when no group is too large.
+    Returns the frame with ``_slot*`` columns, the row counts per ``keys``, ``refine`` and
+    slot, and how many such counts there are. ``cut_on`` are the leading order columns, times
+    or whole numbers. Each round cuts the groups that are still too large on the first column
+    that varies inside them, so bursts and even one hot instant are split. Rows equal in all
+    of ``cut_on`` stay together. No column is added when no group is too large.
     """
     values = [_as_long(df, c) for c in cut_on]
     lows, highs = ([f"_{end}{i}" for i in range(len(values))] for end in ("lo", "hi"))
+    varies = reduce(or_, [F.col(lo) < F.col(hi) for lo, hi in zip(lows, highs, strict=True)])
     for round_no in range(_ROUNDS + 1):
         slots = slot_columns(df)
         stats = pinned(df.groupBy(*keys, *(refine or []), *slots).agg(
             F.count(F.lit(1)).alias("_rows"),
             *[F.min(v).alias(c) for v, c in zip(values, lows, strict=True)],
             *[F.max(v).alias(c) for v, c in zip(values, highs, strict=True)]))
-        if slot_rows is None:
-            slot_rows = _task_rows(df, stats.agg(F.sum("_rows")).first()[0] or 0)
-        varies = reduce(or_, [F.col(lo) < F.col(hi) for lo, hi in zip(lows, highs, strict=True)])
-        # At most rows / slot_rows groups are this large, so the side stays small.
-        hot = stats.groupBy(*keys, *slots).agg(
-            F.sum("_rows").alias("_rows"), *[F.min(c).alias(c) for c in lows],
-            *[F.max(c).alias(c) for c in highs]).where((F.col("_rows") > slot_rows) & varies)
-        if round_no == _ROUNDS or hot.isEmpty():
+        groups = stats.groupBy(*keys, *slots).agg(
+            F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_parts"),
+            *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs])
+        found = groups.agg(F.sum("_rows").alias("rows"), F.sum("_parts").alias("parts"),
+                           F.max(F.when(varies, F.col("_rows"))).alias("largest")).first()
+        rows = found.rows or 0
+        slot_rows = slot_rows or _task_rows(df, rows)
+        if round_no == _ROUNDS or (found.largest or 0) <= slot_rows:
             break
+        hot = groups.where((F.col("_rows") > slot_rows) & varies)
+        if rows // slot_rows <= BROADCAST_MAX_ROWS:     # no more groups than this are hot
+            hot = F.broadcast(hot)
         slot = F.lit(0).cast("bigint")
         for value, lo, hi in reversed(list(zip(values, lows, highs, strict=True))):
             width = F.ceil((F.col(hi) - F.col(lo) + 1) / F.ceil(2 * F.col("_rows") / slot_rows))
             cut = F.floor((value - F.col(lo)) / F.greatest(width, F.lit(1)))
             slot = F.when(F.col(lo) < F.col(hi), cut).otherwise(slot)
-        df = (_match(df, broadcast_if_small(hot), keys + slots)
+        df = (_match(df, hot, keys + slots)
               .withColumn(f"_slot{round_no}", F.coalesce(slot, F.lit(0)).cast("bigint"))
-              .drop("_rows", *lows, *highs))
-    return df, stats.drop(*lows, *highs)
+              .drop("_rows", "_parts", *lows, *highs))
+    return df, stats.drop(*lows, *highs), found.parts or 0
 
 
 def ranked(df: DataFrame, ranks: dict[str, list[str]], order: list[str], cut_on: list[str],
@@ -101,7 +105,7 @@ def ranked(df: DataFrame, ranks: dict[str, list[str]], order: list[str], cut_on:
     names = list(ranks)
     coarse = ranks[names[0]]
     refine = list(dict.fromkeys(k for keys in ranks.values() for k in keys if k not in coarse))
-    df, counts = slotted(df, coarse, cut_on, slot_rows, refine)
+    df, counts, parts = slotted(df, coarse, cut_on, slot_rows, refine)
     slots = slot_columns(df)
     if slots:
         # Rows up to and including a slot, less the slot itself.
@@ -110,7 +114,9 @@ def ranked(df: DataFrame, ranks: dict[str, list[str]], order: list[str], cut_on:
         within = {n: F.sum("_rows").over(Window.partitionBy(k + slots)) for n, k in ranks.items()}
         before = counts.select(*coarse, *refine, *slots, *[
             (through[n] - within[n]).alias(f"_before_{n}") for n in names])
-        df = _match(df, small_side(before), coarse + refine + slots)
+        if parts <= BROADCAST_MAX_ROWS:
+            before = F.broadcast(before)
+        df = _match(df, before, coarse + refine + slots)
     for name, keys in ranks.items():
         # Once the first number is there, it stands for the whole order.
         by = order if name == names[0] else [names[0]]
