@@ -57,14 +57,12 @@ def hub_counts(messages: DataFrame) -> DataFrame:
 
 def unmapped_report(messages: DataFrame, mapping: DataFrame) -> DataFrame:
     """Hubs seen in the stream without a mapping, and mappings that received nothing."""
-    seen = hub_counts(messages)
-    hubs = (seen.join(mapping, HUB, "left_anti")
-            .select(F.lit("unmapped_hub").alias("finding"), *HUB,
-                    F.lit(None).cast("string").alias("mapping_key"), "messages"))
-    idle = (mapping.join(seen, HUB, "left_anti")
-            .select(F.lit("idle_mapping").alias("finding"), *HUB, "mapping_key",
-                    F.lit(0).cast("bigint").alias("messages")))
-    return hubs.unionByName(idle)
+    both = hub_counts(messages).join(mapping.select(*HUB, "mapping_key"), HUB, "full")
+    finding = (F.when(F.col("mapping_key").isNull(), F.lit("unmapped_hub"))
+               .when(F.col("messages").isNull(), F.lit("idle_mapping")))
+    return (both.where(F.col("mapping_key").isNull() | F.col("messages").isNull())
+            .select(finding.alias("finding"), *HUB, "mapping_key",
+                    F.coalesce("messages", F.lit(0)).cast("bigint").alias("messages")))
 
 
 def unmapped_targets(targets: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -86,22 +84,21 @@ def mapping_report(messages: DataFrame, mapping: DataFrame) -> DataFrame:
 def configuration_report(messages: DataFrame, hubs: DataFrame, targets: DataFrame,
                          mapping: DataFrame) -> DataFrame:
     """One row: how much is configured, how much of it is used, and whether all is valid."""
-    def measure(df: DataFrame, name: str, value="1") -> DataFrame:
-        return df.select(F.lit(name).alias("measure"), F.expr(value).cast("bigint").alias("n"))
-
-    report = mapping_report(messages, mapping)
-    counted = {
-        "hubs_count": measure(hubs, "hubs_count"),
-        "targets_count": measure(targets, "targets_count"),
-        "mappings_count": measure(mapping, "mappings_count"),
-        "unmapped_hubs": measure(hubs.join(mapping, "hub_key", "left_anti"), "unmapped_hubs"),
-        "unmapped_targets": measure(unmapped_targets(targets, mapping), "unmapped_targets"),
-        "routed": measure(report, "routed", "routed"),
-        "unroutable": measure(report, "unroutable", "unroutable")}
-    every = reduce(DataFrame.unionByName, counted.values())
+    def measure(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.lit(name).alias("measure"), F.lit(1).cast("bigint").alias("n"))
+
+    sent = mapping_report(messages, mapping).select(F.explode(F.create_map(
+        F.lit("routed"), "routed", F.lit("unroutable"), "unroutable")).alias("measure", "n"))
+    every = reduce(DataFrame.unionByName, [
+        measure(hubs, "hubs_count"), measure(targets, "targets_count"),
+        measure(mapping, "mappings_count"),
+        measure(hubs.join(mapping, "hub_key", "left_anti"), "unmapped_hubs"),
+        measure(unmapped_targets(targets, mapping), "unmapped_targets"), sent])
+    names = ["hubs_count", "targets_count", "mappings_count", "unmapped_hubs",
+             "unmapped_targets", "routed", "unroutable"]
     totals = every.agg(*[
         F.coalesce(F.sum(F.when(F.col("measure") == name, F.col("n"))), F.lit(0))
-        .cast("bigint").alias(name) for name in counted])
+        .cast("bigint").alias(name) for name in names])
     return totals.withColumn("valid", (F.col("unroutable") == 0) & (F.col("unmapped_hubs") == 0))
 
 

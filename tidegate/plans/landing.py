@@ -9,7 +9,7 @@ from tidegate.functions import labels
 from tidegate.functions.text import clean_map, clean_text, iso_timestamp
 from tidegate.operators import envelope, quality, replays, routing
 from tidegate.plans import frames
-from tidegate.plans.frames import MAPPING, MSGS, ROUTED
+from tidegate.plans.frames import MSGS, ROUTED
 from tidegate.sources.tables import NAMESPACE, event_messages, table
 
 
@@ -102,12 +102,11 @@ def quarantine_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.translate("p_name", " ", ".").alias("eventhub"), F.col("p_type").alias("hub_key"),
         F.col("p_name").alias("target_table"))
     names = customers.unionByName(suppliers).unionByName(parts)
-    good, bad = quality.quarantine(
+    marked = quality.checked(
         names.withColumn("eventhub_namespace", ns)
         .withColumn("consumer_group", F.when(F.col("id") % 5 == 0, F.lit("  ")).otherwise("g")))
-    columns = ["src", "id", "eventhub", "hub_key", "target_table"]
-    return (good.select(*columns, F.lit("").alias("reasons"))
-            .unionByName(bad.select(*columns, F.array_join("reasons", ",").alias("reasons"))))
+    return marked.select("src", "id", "eventhub", "hub_key", "target_table",
+                         F.array_join("reasons", ",").alias("reasons"))
 
 
 QUERIES = {f.__name__: f for f in (
