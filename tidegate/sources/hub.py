@@ -81,7 +81,7 @@ def start_positions(latest: DataFrame, hub_partitions: DataFrame,
 
 
 def _json(keys: Column, values: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(keys, values))))
+    return F.map_from_entries(F.collect_list(F.struct(keys, values)))
 
 
 def starting_offsets(positions: DataFrame) -> str:
