@@ -122,6 +122,15 @@ def test_control_table(spark, tmp_path):
         checkpoints.ensure_control_table(spark, str(tmp_path / "else"))
 
 
+def test_append_to_a_table_created_empty(spark, tmp_path):
+    path = str(tmp_path / "control")
+    checkpoints.ensure_control_table(spark, path)
+    checkpoints.append_checkpoints(log(spark, [checkpoint("0", 10, 1, batch=4)]), path)
+    got = checkpoints.read_control_table(spark, path).collect()
+    assert [(r.waterlevel, r.run_id, r.batch_id) for r in got] == [(10, "r", 4)]
+    assert checkpoints.ensure_control_table(spark, path) is False
+
+
 def test_append_is_repeatable_and_compacts(spark, tmp_path):
     path, compacted = str(tmp_path / "control"), str(tmp_path / "compacted")
     first = log(spark, [checkpoint("0", 10, 1), checkpoint("1", 11, 1)])
