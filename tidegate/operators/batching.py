@@ -12,8 +12,11 @@ it leads, and those summaries are composed like a running total.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ from tidegate.functions.text import micros
 from tidegate.operators.ranking import with_arrival
 from tidegate.session import pinned, small_side, stored
 
+# Task functions travel with their code: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_SIZE = 1000
 MAX_WAIT_SECONDS = 300
 NO_WAIT = 1 << 60
