@@ -144,18 +144,25 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .agg(F.collect_set("line_no").alias("gone")))
 
 
-def deduplicated(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """doc_id, the original ``text`` (empty where null), ``kept`` text, lines and deleted lines."""
-    docs = keyed(df, id_col, text_col)
+def without_deleted(df: DataFrame, gone: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with ``kept`` text, ``n_lines`` and ``n_deleted`` lines."""
+    text = body(F.col(f"`{text_col}`").cast("string"))
+    id_ = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     none = F.array().cast("array<int>")
-    lines = F.transform(F.split("text", "\n"),
+    lines = F.transform(F.split("body", "\n"),
                         lambda line, n: F.struct(n.alias("n"), line.alias("line")))
     kept = F.array_join(F.filter(lines, lambda x: ~F.array_contains("gone", x["n"]))["line"], "\n")
-    return (docs.join(deleted_lines(docs, min_words), _DOC, "left")
-            .withColumn("gone", F.coalesce("gone", none))
-            .select("doc_id", "text",
-                    F.when(F.size("gone") == 0, F.col("text"))
+    return (df.select(F.struct("*").alias("row"), text.alias("body"))
+            .withColumns({"oid": id_, "th": F.xxhash64("body")})
+            .join(gone, _DOC, "left").withColumn("gone", F.coalesce("gone", none))
+            .select("row.*", F.when(F.size("gone") == 0, F.col("body"))
                     .when(kept.rlike(_WORD), kept).otherwise("").alias("kept"),
-                    F.size(F.split("text", "\n")).alias("n_lines"),
+                    F.size(F.split("body", "\n")).alias("n_lines"),
                     F.size("gone").alias("n_deleted")))
+
+
+def deduplicated(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """doc_id, the original ``text``, ``kept`` text, lines and deleted lines of every row."""
+    docs = id_and_text(df, id_col, text_col)
+    return without_deleted(docs, deleted_lines(keyed(docs, "doc_id", "text"), min_words))

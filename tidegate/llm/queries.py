@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, line_dedup, sharding, simhash_dedup
+from tidegate.llm import (bpe, chat, decontamination, fingerprints, language, licences,
+                          line_dedup, sharding, simhash_dedup, toxicity)
 from tidegate.llm.common import table
+from tidegate.session import stored
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -20,6 +22,24 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_sort(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; labels of held-out rows are never learned."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    return language.identify(docs.select("doc_id", "text"), model, keep=("doc_id",)).select(
+        "row.doc_id", language.held_out(F.col("row.doc_id"), 5, 0).alias("held_out"),
+        "lang_pred", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the bytes they decode to, as digests."""
     ranks = bpe.read_ranks(RANKS)
@@ -27,6 +47,47 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, ranks))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own and inherited licence of every document.
+
+    Documents have no paths, so each is a file in nested folders by the digits of its id; ids
+    divisible by 1000, 100 and 10 are the licence files of the folders of that many.
+    """
+    id_ = F.col("doc_id")
+    folders = [F.concat(F.lit("k"), F.floor(id_ / 1000).cast("string")),
+               F.concat(F.lit("c"), F.floor(id_ / 100).cast("string")),
+               F.concat(F.lit("x"), F.floor(id_ / 10).cast("string"))]
+    path = (F.when(id_ % 1000 == 0, F.concat_ws("/", folders[0], F.lit("LICENSE")))
+            .when(id_ % 100 == 0, F.concat_ws("/", *folders[:2], F.lit("LICENSE")))
+            .when(id_ % 10 == 0, F.concat_ws("/", *folders, F.lit("LICENSE")))
+            .otherwise(F.concat_ws("/", *folders, id_.cast("string"))))
+    return licences.scan(table(spark, sf_dir, "documents").withColumn("path", path))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited form, and for ids divisible by 50 how many
+    documents have a fingerprint within the radius, the document itself included."""
+    rows = stored(fingerprints.with_successors(table(spark, sf_dir, "documents")),
+                  "fingerprints")
+    classes = rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.count(F.lit(1)).alias("n"))
+    asked = rows.where("doc_id % 50 = 0").select(F.col("fingerprint").alias("fp"))
+    near = (fingerprints.within_radius(asked, classes).join(classes, "fp")
+            .groupBy(F.col("query").alias("fingerprint")).agg(F.sum("n").alias("within_radius")))
+
+    def text(column: str):
+        return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+    def likeness(other: str):
+        return 1 - F.bit_count(F.col("fingerprint").bitwiseXOR(F.col(other))) / 64
+
+    return rows.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", text("fingerprint").alias("fingerprint"),
+        text("edited_fingerprint").alias("edited_fingerprint"),
+        likeness("edited_fingerprint").alias("near_edited"),
+        likeness("next_fingerprint").alias("near_next"),
+        F.when(F.col("doc_id") % 50 == 0, F.col("within_radius")).alias("within_radius"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its lines, its deleted lines and a digest of the text that stays."""
     return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
@@ -61,5 +122,52 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op4_bpe, op7_line_dedup, op8_simhash_dedup)}
-ORACLES = {"op7_line_dedup": OP7_SQL}
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and its digests read back from the windows."""
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(turns.union(extra)))
+
+
+OP9_SQL = r"""
+WITH turns AS (SELECT coalesce(conv_id, -9223372036854775808) AS conv_id, turn,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+counted AS (SELECT *, len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS tokens,
+    length(role) + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
+    - length(role) + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
+    + 10 AS chars FROM turns),
+placed AS (SELECT *, row_number() OVER w - 1 AS place,
+    coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 512
+    AS span FROM counted WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+spans AS (SELECT conv_id, span, min(place) AS start FROM placed GROUP BY ALL HAVING start > 0),
+past AS (SELECT s.conv_id, p.chars, sum(p.tokens) OVER (PARTITION BY s.conv_id, s.span
+    ORDER BY p.place DESC) AS total
+  FROM spans s JOIN placed p ON p.conv_id = s.conv_id AND p.place < s.start
+    AND p.place >= s.start - 4 AND NOT (p.place = 0 AND p.role = 'system')),
+chars AS (SELECT conv_id, sum(chars) AS n FROM (SELECT conv_id, chars FROM placed
+  UNION ALL SELECT conv_id, chars FROM past WHERE total <= 256
+  UNION ALL SELECT s.conv_id, p.chars FROM spans s JOIN placed p
+    ON p.conv_id = s.conv_id AND p.place = 0 AND p.role = 'system') GROUP BY conv_id),
+texts AS (SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS lines,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss
+  FROM placed GROUP BY conv_id)
+SELECT nullif(conv_id, -9223372036854775808) AS conv_id, n_turns, sha256(lines) AS turns_sha256,
+  length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM texts JOIN chars USING (conv_id)"""
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_toxicity, op3_language, op4_bpe, op5_licences, op6_fingerprints,
+    op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination)}
+ORACLES = {"op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL}

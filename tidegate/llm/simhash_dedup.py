@@ -84,14 +84,19 @@ def links(fps: DataFrame) -> DataFrame:
             .distinct())
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp and component_id, the smallest id that links reach, for every row."""
-    rows = stored(with_fingerprint(id_and_text(df, id_col, text_col)).select("doc_id", "fp"),
-                  "fingerprints")
+def groups(rows: DataFrame) -> DataFrame:
+    """fp, the root of its component and component_id, for every distinct fingerprint of rows
+    with ``doc_id`` and ``fp``."""
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes))
     rooted = classes.join(roots.select(F.col("u").alias("fp"), "v"), "fp", "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp and component_id, the smallest id that links reach, for every row."""
+    rows = stored(with_fingerprint(id_and_text(df, id_col, text_col)).select("doc_id", "fp"),
+                  "fingerprints")
+    return rows.join(groups(rows), "fp").select("doc_id", "fp", "component_id")
