@@ -2,9 +2,8 @@
 
 Every line of every text is compared, not the top of a file alone. Words of the templates weigh
 by how few texts hold them, counted over all texts; any other word weighs as one that no text
-holds. A line is a header if it holds an anchor, a template word in fewer than ``RARE`` of the
-texts; its vector is compared with every template, and the best cosine of ``least`` or more names
-the licence. Ties go to the licence first by name.
+holds. A line is compared with every template unless it holds none of the words without which no
+template can be reached; the best cosine of ``least`` or more names the licence. Ties go to the licence first by name.
 
 A file without a licence of its own takes that of the nearest directory above it that has one,
 which is that of the licence file in it (the best cosine; ties: first by name). Each directory is
@@ -17,7 +16,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from math import log
+from math import log, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +35,6 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
 )
 LEAST = 0.7
-RARE = 0.1
 _WORD = r"[\p{L}\p{N}.\-]*[\p{L}\p{N}]"
 
 
@@ -51,6 +49,22 @@ def term_counts(docs: DataFrame, vocabulary: Column) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def heaviest(vector: dict[str, float], least: float) -> set[str]:
+    """Words of a template of which a line must hold one to reach the cosine ``least``.
+
+    A cosine is at most the length of the shared part of the template over its whole length, so
+    the lightest words that together stay below that share are not enough.
+    """
+    need = least ** 2 * sum(x * x for x in vector.values()) * (1 - 1e-9)
+    out, sum_ = set(vector), 0.0
+    for word, x in sorted(vector.items(), key=lambda item: (item[1], item[0])):
+        sum_ += x * x
+        if sum_ >= need:
+            break
+        out.discard(word)
+    return out
+
+
 def own_licences(df: DataFrame, id_col: str, path_col: str, text_col: str,
                  templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """doc_id, path, row, licence and cosine of every file; ``row`` tells repeated rows apart."""
@@ -60,17 +74,17 @@ def own_licences(df: DataFrame, id_col: str, path_col: str, text_col: str,
                             body(F.col(f"`{text_col}`").cast("string")).alias("text"))
                   .withColumn("row", F.monotonically_increasing_id()), "licence-docs")
     named = spark.createDataFrame(list(templates), "licence string, template string")
-    vocabulary = sorted({w.word for w in named.select(F.explode(words(F.col("template")))
-                                                      .alias("word")).collect()})
+    tokens = {r.licence: r.words for r in named.select("licence", words(F.col("template"))
+                                                       .alias("words")).collect()}
+    vocabulary = sorted({w for text in tokens.values() for w in text})
     known = F.array(*[F.lit(w) for w in vocabulary])
     counts = {r.word: r.n for r in term_counts(docs, known).collect()}    # template words only
     total = docs.count()
-    weight = F.create_map(*[F.lit(x) for w in vocabulary for x in (
-        w, 1.0 + log((1 + total) / (1 + counts.get(w, 0))))])
+    idf = {w: 1.0 + log((1 + total) / (1 + counts.get(w, 0))) for w in vocabulary}
+    weight = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair])
     unseen = 1.0 + log(1.0 + total)
-    anchors = [w for w in vocabulary if counts.get(w, 0) < max(1, RARE * total)]
-    if not anchors:
-        anchors = vocabulary
+    vectors = {name: {w: text.count(w) * idf[w] for w in text} for name, text in tokens.items()}
+    anchors = sorted(set().union(*(heaviest(v, least) for v in vectors.values())))
     anchor = F.array(*[F.lit(w) for w in anchors])
     lines = docs.select("row", F.explode(F.split("text", "\n")).alias("line")).withColumn(
         "words", words(F.col("line"))).where(F.arrays_overlap("words", anchor))
@@ -87,10 +101,10 @@ def own_licences(df: DataFrame, id_col: str, path_col: str, text_col: str,
              .withColumn("norm", F.sqrt(square + other))
              .select("row", "norm", F.explode("vector").alias("term"), "line_key")
              .select("row", "line_key", "norm", "term.word", F.col("term.w").alias("line_w")))
-    model = (named.withColumn("vector", vector(words(F.col("template"))))
-             .withColumn("template_norm", F.sqrt(square))
-             .select("licence", "template_norm", F.explode("vector").alias("term"))
-             .select("licence", "template_norm", "term.word", F.col("term.w").alias("template_w")))
+    model = spark.createDataFrame(
+        [(name, sqrt(sum(x * x for x in v.values())), w, x) for name, v in vectors.items()
+         for w, x in v.items()],
+        "licence string, template_norm double, word string, template_w double")
     cosine = F.sum(F.col("line_w") * F.col("template_w")) / (
         F.first("norm") * F.first("template_norm"))
     best = (terms.join(F.broadcast(model), "word")             # the templates' words

@@ -64,6 +64,49 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").withColumn("path", path))
 
 
+OP5_SQL = r"""
+WITH files AS (SELECT doc_id, coalesce(text, '') AS text,
+    'k' || doc_id // 1000 || CASE WHEN doc_id % 1000 = 0 THEN '/LICENSE'
+      ELSE '/c' || doc_id // 100 || CASE WHEN doc_id % 100 = 0 THEN '/LICENSE'
+        ELSE '/x' || doc_id // 10 || CASE WHEN doc_id % 10 = 0 THEN '/LICENSE'
+          ELSE '/' || doc_id END END END AS path FROM documents),
+templates(licence, template) AS (VALUES {templates}),
+t AS (SELECT licence, unnest(regexp_extract_all(lower(template), '{word}')) AS word
+  FROM templates),
+corpus AS (SELECT count(*) AS total FROM files),
+held AS (SELECT word, count(*) AS n FROM (SELECT DISTINCT doc_id,
+    unnest(regexp_extract_all(lower(text), '{word}')) AS word FROM files) GROUP BY word),
+idf AS (SELECT word, 1 + ln((1 + total) / (1 + coalesce(n, 0))) AS w
+  FROM (SELECT DISTINCT word FROM t) LEFT JOIN held USING (word), corpus),
+tv AS (SELECT licence, word, count(*) * any_value(w) AS tw FROM t JOIN idf USING (word)
+  GROUP BY ALL),
+tn AS (SELECT licence, sqrt(sum(tw * tw)) AS t_norm FROM tv GROUP BY licence),
+lines AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS n,
+    unnest(string_split(text, chr(10))) AS line FROM files),
+words AS (SELECT doc_id, n, word, count(*) AS tf FROM (SELECT doc_id, n,
+    unnest(regexp_extract_all(lower(line), '{word}')) AS word FROM lines) GROUP BY ALL),
+norms AS (SELECT doc_id, n, sqrt(sum(CASE WHEN w IS NULL THEN (1 + ln(1 + total)) ** 2
+    ELSE (tf * w) ** 2 END)) AS norm
+  FROM words LEFT JOIN idf USING (word), corpus GROUP BY doc_id, n),
+near AS (SELECT doc_id, licence,
+    round(sum(tf * w * tw) / (any_value(norm) * any_value(t_norm)), 9) AS cosine
+  FROM words JOIN idf USING (word) JOIN tv USING (word) JOIN tn USING (licence)
+    JOIN norms USING (doc_id, n) GROUP BY doc_id, n, licence HAVING cosine >= 0.7),
+best AS (SELECT doc_id, licence, cosine FROM near
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence) = 1),
+own AS (SELECT doc_id, path, licence, cosine, regexp_replace(path, '/[^/]*$', '') AS dir
+  FROM files LEFT JOIN best USING (doc_id)),
+declared AS (SELECT dir AS above, licence AS inherited FROM own
+  WHERE licence IS NOT NULL AND path LIKE '%/LICENSE'),
+up AS (SELECT doc_id, above, inherited FROM own JOIN declared
+    ON own.licence IS NULL AND (dir = above OR starts_with(dir, above || '/'))
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(above) DESC) = 1)
+SELECT doc_id, path, licence AS own_licence, cosine, coalesce(licence, inherited) AS licence,
+  above AS inherited_from FROM own LEFT JOIN up USING (doc_id)""".format(
+    word=r"[\p{L}\p{N}.\-]*[\p{L}\p{N}]",
+    templates=", ".join(f"('{name}', '{text}')" for name, text in licences.TEMPLATES))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited form, and for ids divisible by 50 how many
     documents have a fingerprint within the radius, the document itself included."""
@@ -170,4 +213,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_toxicity, op3_language, op4_bpe, op5_licences, op6_fingerprints,
     op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination)}
-ORACLES = {"op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL}
+ORACLES = {"op5_licences": OP5_SQL, "op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL}
