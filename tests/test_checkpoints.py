@@ -96,6 +96,37 @@ def test_resume_by_sequence_when_the_offset_was_no_number(spark):
     assert sorted(r.sequence_number for r in got.collect()) == [3, 4]
 
 
+def test_resume_with_offsets_that_are_no_numbers(spark):
+    df = frame(spark, [message("0", s, offset="x" if s == 4 else str(s * 100)) for s in range(6)])
+    known = checkpoint("0", 200, metadata='{"sequence_number": 2, "waterlevel_kind": "offset"}')
+    for stored, want in ((known, [3, 4, 5]), (checkpoint("0", 300), [4, 5])):
+        got = checkpoints.resume_messages(df, checkpoints.latest_checkpoints(log(spark, [stored])))
+        assert sorted(r.sequence_number for r in got.collect()) == want
+
+
+def test_resume_of_two_targets_on_different_scales(spark):
+    df = frame(spark, [message("0", s, offset=str(1000 + s)) for s in range(200)])
+    stored = [checkpoint("0", 1120, table="A",
+                         metadata='{"sequence_number": 120, "waterlevel_kind": "offset"}'),
+              checkpoint("0", 5, table="B",
+                         metadata='{"sequence_number": 5, "waterlevel_kind": "sequence"}')]
+    latest = checkpoints.latest_checkpoints(log(spark, stored))
+    assert checkpoints.resume_messages(df, latest).count() == 194
+    assert hub.start_positions(latest, replays.lanes(df)).first().position == 6
+    lag = {r.target_table: r.lag for r in checkpoints.checkpoint_lag(df, latest).collect()}
+    assert lag == {"A": 79, "B": 194}
+
+
+def test_compaction_survives_the_next_append(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    checkpoints.append_checkpoints(log(spark, [checkpoint(str(p), p, batch=p, run="a:b")
+                                               for p in range(3)]), old)
+    checkpoints.compact_checkpoints(spark, old, new)
+    checkpoints.append_checkpoints(log(spark, [checkpoint("0", 9, 5, batch=7)]), new)
+    got = checkpoints.latest_checkpoints(checkpoints.read_control_table(spark, new)).collect()
+    assert {r.partition_id: r.waterlevel for r in got} == {"0": 9, "1": 1, "2": 2}
+
+
 def test_listing(spark):
     latest = checkpoints.latest_checkpoints(log(spark, [
         checkpoint("0", 900, metadata='{"sequence_number": 9, "consumer_group": "g"}'),

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import UTC, datetime
 
 from builders import frame, message
 from pyspark.sql import functions as F
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegate import schema
 from tidegate.functions import labels
 from tidegate.functions.text import (clean_list_map, clean_map, clean_text, iso_timestamp,
-                                     properties_json)
+                                     micros, properties_json, utc_now)
 from tidegate.operators import envelope
 from tidegate.sources.tables import event_messages
 
@@ -70,11 +70,39 @@ def test_landing_directly_equals_landing_the_envelope(spark):
     assert long_way.exceptAll(direct).isEmpty() and direct.exceptAll(long_way).isEmpty()
 
 
-def test_staged_text_that_is_not_json_lands_as_nulls(spark):
+def test_staged_text_that_is_not_json_is_kept_as_it_is(spark):
     staged = spark.createDataFrame(
-        [('{"event_body": "x", "sequence_number": 7}',), ("test body",)], "staged string")
+        [('{"event_body": "x", "sequence_number": 7}',), ("test body",), ("[1]",), (None,)],
+        "staged string")
     rows = envelope.land_staged(staged).collect()
-    assert [(r.event_body, r.sequence_number) for r in rows] == [("x", 7), (None, None)]
+    assert [(r.event_body, r.sequence_number) for r in rows] == [("x", 7)]
+    left = envelope.rejected_staged(staged).collect()
+    assert [(r.staged, r.reason) for r in left] == [
+        ("test body", "no_json"), ("[1]", "no_object"), (None, "no_text")]
+
+
+def test_keys_that_decode_alike_keep_the_last_value(spark):
+    row = spark.sql("SELECT map(X'FF', X'61', X'FE', X'62', X'6B', X'63') AS m").select(
+        clean_map("m").alias("m")).first()
+    assert row.m == {"\ufffd": "b", "k": "c"}
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    times = [datetime(2024, 3, 10, 2, 30, 0, 5), datetime(2024, 7, 1, 12)]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+        got = df.select(iso_timestamp("t").alias("s"), micros("t").alias("m")).collect()
+        now = spark.range(1).select(utc_now().alias("n")).first().n
+        stamp = envelope.to_envelope(frame(spark, [message()])).first().ingestion_timestamp
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.s for r in got] == [t.isoformat() + "+00:00" for t in times]
+    assert [r.m for r in got] == [int(t.replace(tzinfo=UTC).timestamp() * 1_000_000 + 0.5)
+                                  for t in times]
+    assert abs((datetime.now(UTC).replace(tzinfo=None) - now).total_seconds()) < 60
+    assert stamp[:16] <= datetime.now(UTC).isoformat()[:16] and stamp.endswith("+00:00")
 
 
 def test_guard_drops_missing_sequence(spark):

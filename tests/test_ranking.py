@@ -2,6 +2,8 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from builders import frame, message
+from pyspark.sql import functions as F
 
 from tidegate.operators.ranking import ranked, slot_columns, slotted, with_arrival
 
@@ -64,3 +66,19 @@ def test_arrival_of_messages(spark):
     rows = [message("0", 5, seconds=3), message("1", 1, seconds=1), message("0", 4, seconds=2)]
     got = with_arrival(frame(spark, rows), ["eventhub"], slot_rows=1)
     assert [(r.sequence_number) for r in got.orderBy("arrival").collect()] == [1, 4, 5]
+
+
+def test_hot_instant_is_cut_through_the_default_tie(spark):
+    rows = [message(f"partition-{i % 7}", i, seconds=None if i % 3 == 0 else 5)
+            for i in range(3000)]
+    got = with_arrival(frame(spark, rows), ["eventhub"], slot_rows=100).collect()
+    order = sorted(got, key=lambda r: (r.enqueued_time is not None, r.partition_id,
+                                       r.sequence_number))
+    assert [r.arrival for r in order] == list(range(3000))
+    assert not slot_columns(frame(spark, rows))
+    df, counts, _ = slotted(frame(spark, rows).withColumn("_rank_partition_id", F.substring(
+        "partition_id", 11, 1).cast("int")), ["eventhub"],
+        ["enqueued_time", "_rank_partition_id", "sequence_number"], 100)
+    largest = counts.groupBy(*slot_columns(df)).agg(F.sum("_rows").alias("n")).agg(
+        F.max("n")).first()[0]
+    assert largest <= 100

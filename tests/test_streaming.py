@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from builders import START, frame, mapping, message
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from tidegate.operators import batching, checkpoints, replays
 from tidegate.sources import hub
 from tidegate.streaming import ingest
 from tidegate.streaming.sized import SizedBatches
-from tidegate.streaming.sink import TableSink, in_lanes, prepare, read_target
+from tidegate.streaming.sink import TableSink, delivered, in_lanes, prepare, read_rejected, read_target
 
 DRAIN = {"availableNow": True}
 
@@ -17,7 +19,7 @@ def store(spark, path, *parts):
         frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
 
 
-def parts(count=3, size=10, hubs=("a",)):
+def parts(count=3, size=10, hubs=("aa",)):
     return [[message(str(i % 3), n * size + i, hub=h, seconds=n * size + i)
              for i in range(size) for h in hubs] for n in range(count)]
 
@@ -40,13 +42,14 @@ def levels(spark, folder):
 
 def test_stream_equals_batch(spark, tmp_path):
     folder = str(tmp_path)
-    store(spark, f"{folder}/hub", *parts(hubs=("a", "b")))
-    pairs = mapping(spark, "a")
+    store(spark, f"{folder}/hub", *parts(hubs=("aa", "bb")))
+    pairs = mapping(spark, "aa")
     query = run(spark, folder, pairs)
     landed = read_target(spark, f"{folder}/target")
-    whole = prepare(spark.read.parquet(f"{folder}/hub"), pairs).drop("ingestion_timestamp")
+    whole = delivered(prepare(spark.read.parquet(f"{folder}/hub"), pairs)).drop(
+        "ingestion_timestamp")
     assert landed.select(whole.columns).exceptAll(whole).isEmpty() and landed.count() == 30
-    assert levels(spark, folder) == {("a", "0"): 29, ("a", "1"): 27, ("a", "2"): 28}
+    assert levels(spark, folder) == {("aa", "0"): 29, ("aa", "1"): 27, ("aa", "2"): 28}
     seen = ingest.progress(spark, query).agg(F.sum("received"), F.sum("input_rows")).first()
     assert seen[0] == 60
 
@@ -61,35 +64,91 @@ def test_crash_and_restart_lose_and_double_nothing(spark, tmp_path, step):
             raise RuntimeError("power cut")
 
     with pytest.raises(Exception, match="power cut"):
-        run(spark, folder, mapping(spark, "a"), probe=fail)
+        run(spark, folder, mapping(spark, "aa"), probe=fail)
     log = spark.read.parquet(f"{folder}/errors").collect()
-    assert [(r.error, r.message_count) for r in log] == [("power cut", 10)]
-    run(spark, folder, mapping(spark, "a"))
+    seen = (None, None) if step == "data" else ("HUB_1->TARGET_1", 10)
+    assert [(r.error, r.mapping_key, r.message_count) for r in log] == [("power cut", *seen)]
+    run(spark, folder, mapping(spark, "aa"))
     landed = read_target(spark, f"{folder}/target")
     assert (landed.count(), landed.select("row_id").distinct().count()) == (40, 40)
-    assert levels(spark, folder) == {("a", "0"): 39, ("a", "1"): 37, ("a", "2"): 38}
+    assert levels(spark, folder) == {("aa", "0"): 39, ("aa", "1"): 37, ("aa", "2"): 38}
 
 
 def test_second_run_continues(spark, tmp_path):
     folder = str(tmp_path)
     store(spark, f"{folder}/hub", *parts(1))
-    run(spark, folder, mapping(spark, "a"))
+    run(spark, folder, mapping(spark, "aa"))
     store(spark, f"{folder}/hub", *parts(2)[1:])
-    run(spark, folder, mapping(spark, "a"))
+    run(spark, folder, mapping(spark, "aa"))
     assert read_target(spark, f"{folder}/target").count() == 20
 
 
 def test_empty_batches_succeed(spark, tmp_path):
     folder = str(tmp_path)
     store(spark, f"{folder}/hub", *parts(1, hubs=("unmapped",)))
-    run(spark, folder, mapping(spark, "a"))
+    run(spark, folder, mapping(spark, "aa"))
     assert not (tmp_path / "control").exists()
+    kept = read_rejected(spark, f"{folder}/target").collect()
+    assert [r.reasons for r in kept] == ["unroutable"] * 10
+    assert {r.event_body for r in kept} == {"{}"}
+
+
+@pytest.mark.parametrize("run_id", ["a=1", "r#1", "2026-12-01T10:00", "x y%z", "{a,b}*"])
+def test_any_run_id_is_checkpointed(spark, tmp_path, run_id):
+    folder = str(tmp_path)
+    store(spark, f"{folder}/hub", *parts(2))
+    run(spark, folder, mapping(spark, "aa"), run_id=run_id)
+    assert levels(spark, folder) == {("aa", "0"): 19, ("aa", "1"): 17, ("aa", "2"): 18}
+    assert {r.run_id for r in read_target(spark, f"{folder}/target").collect()} == {run_id}
+
+
+def test_replay_after_a_change_of_mapping_doubles_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    store(spark, f"{folder}/hub", *parts(1))
+
+    def fail(at, batch_id):
+        if at == "checkpoint":
+            raise RuntimeError("power cut")
+
+    with pytest.raises(Exception, match="power cut"):
+        run(spark, folder, mapping(spark, "aa"), run_id="r:1", probe=fail)
+    moved = mapping(spark, "aa").withColumn("target_table", F.lit("T_new"))
+    run(spark, folder, moved, run_id="r:1")
+    landed = read_target(spark, f"{folder}/target").collect()
+    assert {r.target_table for r in landed} == {"T_new"} and len(landed) == 10
+    log = checkpoints.read_control_table(spark, f"{folder}/control").collect()
+    assert {r.target_table for r in log} == {"T_new"}
+
+
+def test_batches_and_progress_are_logged(spark, tmp_path):
+    folder = str(tmp_path)
+    store(spark, f"{folder}/hub", *parts(3, hubs=("aa", "bb")))
+    listener = ingest.ProgressLog(spark, f"{folder}/progress_log")
+    spark.streams.addListener(listener)
+    try:
+        sink = TableSink(f"{folder}/target", f"{folder}/control", batches=f"{folder}/batches")
+        query = ingest.start_ingest(hub.file_hub(spark, f"{folder}/hub", 1),
+                                    mapping(spark, "aa", "bb"), sink, f"{folder}/p", DRAIN)
+        query.awaitTermination()
+        for _ in range(100):
+            if (tmp_path / "progress_log").exists() and spark.read.parquet(
+                    f"{folder}/progress_log").count() >= 3:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.parquet(f"{folder}/batches").collect()
+    assert sorted((r.mapping_key, r.batch_id, r.message_count) for r in rows) == [
+        (f"HUB_{h}->TARGET_{h}", b, 10) for h in (1, 2) for b in range(3)]
+    assert all(r.started_at <= r.finished_at for r in rows)
+    logged = spark.read.parquet(f"{folder}/progress_log")
+    assert logged.agg(F.sum("received")).first()[0] == 60
 
 
 def test_user_step_on_a_batch(spark, tmp_path):
     folder = str(tmp_path)
     store(spark, f"{folder}/hub", *parts(1))
-    run(spark, folder, mapping(spark, "a"),
+    run(spark, folder, mapping(spark, "aa"),
         transform=lambda df: df.withColumn("event_body", F.lit("seen")))
     got = read_target(spark, f"{folder}/target").select("event_body").distinct().collect()
     assert got == [("seen",)]
@@ -97,7 +156,7 @@ def test_user_step_on_a_batch(spark, tmp_path):
 
 def test_one_failing_mapping_leaves_the_others(spark, tmp_path):
     folder = str(tmp_path)
-    store(spark, f"{folder}/hub", *parts(1, hubs=("a", "b")))
+    store(spark, f"{folder}/hub", *parts(1, hubs=("aa", "bb")))
 
     def sink(key):
         made = TableSink(f"{folder}/target", f"{folder}/control", run_id=key.split("->")[0])
@@ -107,20 +166,20 @@ def test_one_failing_mapping_leaves_the_others(spark, tmp_path):
             made.probe = fail
         return made
 
-    pairs = mapping(spark, "a", "b")
+    pairs = mapping(spark, "aa", "bb")
     queries = ingest.start_per_mapping(hub.file_hub(spark, f"{folder}/hub"), pairs,
                                        ["HUB_1->TARGET_1", "HUB_2->TARGET_2"], sink,
                                        f"{folder}/progress", DRAIN)
     with pytest.raises(RuntimeError, match="HUB_2->TARGET_2"):
         ingest.wait_all(queries)
-    assert {r.target_table for r in read_target(spark, f"{folder}/target").collect()} == {"T_a"}
+    assert {r.target_table for r in read_target(spark, f"{folder}/target").collect()} == {"T_aa"}
 
 
 def test_graceful_stop(spark, tmp_path):
     folder = str(tmp_path)
     store(spark, f"{folder}/hub", *parts(1))
     query = ingest.start_ingest(
-        hub.file_hub(spark, f"{folder}/hub"), mapping(spark, "a"),
+        hub.file_hub(spark, f"{folder}/hub"), mapping(spark, "aa"),
         TableSink(f"{folder}/target", f"{folder}/control"), f"{folder}/progress",
         {"processingTime": "0 seconds"})
     query.processAllAvailable()
@@ -204,7 +263,7 @@ def test_silent_hub_is_closed_by_the_clock(spark, tmp_path):
 
 def test_kafka_records_become_messages(spark):
     records = spark.createDataFrame(
-        [("hub-a", 3, 17, START, 0, b"x\xff", [("k", b"v"), ("k", b"v")]),
+        [("hub-a", 3, 17, START, 0, b"x\xff", [("k", b"old"), ("k", b"v")]),
          ("hub-a", 3, 18, START, 0, None, None), ("hub-a", 3, 19, START, 0, b"y", None)],
         "topic string, partition int, offset bigint, timestamp timestamp, timestampType int, "
         "value binary, headers array<struct<key:string,value:binary>>")

@@ -22,13 +22,18 @@ def is_hub_name(name: Column) -> Column:
     return name.rlike(HUB_NAME)
 
 
+def stripped(name: Column) -> Column:
+    """Without white space at either end, of any kind."""
+    return F.regexp_replace(name, r"(?U)^\s+|\s+$", "")
+
+
 def is_not_blank(name: Column) -> Column:
-    return F.length(F.trim(name)) > 0
+    return F.length(stripped(name)) > 0
 
 
 def is_target_identifier(name: Column) -> Column:
     """Letters and digits, once ``_``, ``$`` and ``-`` are taken out."""
-    return F.translate(F.trim(name), "_$-", "").rlike(LETTERS_AND_DIGITS)
+    return F.translate(stripped(name), "_$-", "").rlike(LETTERS_AND_DIGITS)
 
 
 def is_sql_identifier(name: Column) -> Column:

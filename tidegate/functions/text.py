@@ -16,16 +16,28 @@ def clean_list(value: Column | str) -> Column:
     return F.transform(value, clean_text)
 
 
+def last_per_key(entries: Column) -> Column:
+    """A map of (key, value) entries; of entries with one key the last counts."""
+    def is_last(entry: Column, at: Column) -> Column:
+        later = F.slice(entries, at + 2, F.size(entries))
+        return ~F.exists(later, lambda x: x["key"] == entry["key"])
+    return F.map_from_entries(F.filter(entries, is_last))
+
+
+def _clean_entries(value: Column | str, clean_value) -> Column:
+    """A map decoded; keys that decode alike are one key. NULL stays NULL."""
+    return last_per_key(F.transform(F.map_entries(value), lambda e: F.struct(
+        clean_text(e["key"]).alias("key"), clean_value(e["value"]).alias("value"))))
+
+
 def clean_map(value: Column | str) -> Column:
     """Decode keys and values of a map."""
-    return F.transform_values(F.transform_keys(value, lambda k, _: clean_text(k)),
-                              lambda _, v: clean_text(v))
+    return _clean_entries(value, clean_text)
 
 
 def clean_list_map(value: Column | str) -> Column:
     """Decode a map whose values are lists."""
-    return F.transform_values(F.transform_keys(value, lambda k, _: clean_text(k)),
-                              lambda _, v: clean_list(v))
+    return _clean_entries(value, clean_list)
 
 
 def properties_json(value: Column | str, of_bytes: bool = False) -> Column:
@@ -38,19 +50,29 @@ def properties_json(value: Column | str, of_bytes: bool = False) -> Column:
     return F.when(F.size(value) > 0, F.to_json(decoded, {"ignoreNullFields": "false"}))
 
 
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def iso_timestamp(value: Column | str) -> Column:
-    """ISO-8601 text in UTC; the fraction is written only when it is not zero."""
-    value = (F.col(value) if isinstance(value, str) else value).cast("timestamp")
-    whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    exact = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return F.when(F.unix_micros(value) % 1_000_000 == 0, whole).otherwise(exact)
+    """ISO-8601 text of a UTC time without zone; the fraction is written only if not zero."""
+    text = (F.col(value) if isinstance(value, str) else value).cast("timestamp_ntz").cast("string")
+    whole = F.translate(F.substring_index(text, ".", 1), " ", "T")
+    fraction = F.concat(F.lit("."), F.rpad(F.substring_index(text, ".", -1), 6, "0"))
+    return F.concat(whole, F.when(F.contains(text, F.lit(".")), fraction).otherwise(""),
+                    F.lit("+00:00"))
 
 
 def micros(value: Column | str) -> Column:
-    """Microseconds since 1970, for either timestamp type."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.unix_micros(value.cast("timestamp"))
+    """Microseconds from 1970 to a time without zone."""
+    value = (F.col(value) if isinstance(value, str) else value).cast("timestamp_ntz")
+    since = (value - F.expr(_EPOCH)).cast("interval second").cast("decimal(18,6)")
+    return (since * 1_000_000).cast("bigint")
+
+
+def utc(instant: Column) -> Column:
+    """The UTC time, without zone, of an instant, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
 
 
 def utc_now() -> Column:
-    return F.current_timestamp().cast("timestamp_ntz")
+    return utc(F.current_timestamp())

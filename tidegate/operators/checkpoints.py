@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schema
+from tidegate.functions.text import utc_now
 from tidegate.schema import CHECKPOINT_KEY, LANE_KEY, STREAM_KEY
 from tidegate.session import small_side
 
@@ -44,7 +45,7 @@ def batch_checkpoints(batched: DataFrame, ts_inserted: Column | None = None,
         batched = batched.withColumn("consumer_group", F.lit(consumer_group).cast("string"))
     keys = CHECKPOINT_KEY + ["batch_id", "consumer_group"]
     rows = highest_messages(batched, keys, arrival)
-    when = ts_inserted if ts_inserted is not None else F.current_timestamp()
+    when = ts_inserted if ts_inserted is not None else utc_now()
     return rows.select(
         when.cast("timestamp_ntz").alias("ts_inserted"), *STREAM_KEY,
         waterlevel().alias("waterlevel"), "partition_id",
@@ -92,38 +93,46 @@ def upsert_checkpoints(current: DataFrame, updates: DataFrame,
             .select(*CHECKPOINT_KEY, "row.*").select(columns))
 
 
-def _stored_sequence() -> Column:
-    return F.get_json_object("metadata", "$.sequence_number").try_cast("bigint")
+def stored_sequence() -> Column:
+    """The sequence number of a checkpoint, NULL where only an offset was kept."""
+    kept = F.get_json_object("metadata", "$.sequence_number").try_cast("bigint")
+    kind = F.get_json_object("metadata", "$.waterlevel_kind")
+    return F.coalesce(kept, F.when(kind == "sequence", F.col("waterlevel")))
 
 
 def resume_listing(latest: DataFrame) -> DataFrame:
-    """Where each partition resumes: offset as text, and the sequence number next to it."""
+    """Where each partition of each target resumes: offset as text, and the sequence number."""
     return latest.select(
-        *LANE_KEY, F.get_json_object("metadata", "$.consumer_group").alias("consumer_group"),
+        *CHECKPOINT_KEY, F.get_json_object("metadata", "$.consumer_group").alias("consumer_group"),
         F.col("waterlevel").cast("string").alias("offset"),
-        F.coalesce(_stored_sequence(), "waterlevel").alias("sequence_number"))
+        F.coalesce(stored_sequence(), "waterlevel").alias("sequence_number"))
 
 
 def resume_messages(messages: DataFrame, latest: DataFrame, start: str = "latest") -> DataFrame:
     """Messages after the stored position of their partition.
 
+    Positions are sequence numbers wherever a checkpoint kept one, and offsets only where it did
+    not; the two are never compared with each other. One hub may feed several targets: a message
+    is taken if any of them is behind it. Where only an offset was kept, a message whose own
+    offset is not a number cannot be placed and is taken, as losing it would be worse.
     ``start`` rules over partitions without a checkpoint: ``earliest`` takes all of their
     messages, ``latest`` none of those that are already there.
     """
     if start not in ("earliest", "latest"):
         raise ValueError(f"start must be 'earliest' or 'latest', not {start!r}")
-    stored = latest.select(
-        *LANE_KEY, F.col("waterlevel").alias("_level"),
-        F.coalesce(F.get_json_object("metadata", "$.waterlevel_kind") == "sequence",
-                   F.lit(False)).alias("_by_sequence"))
-    # One hub may feed several targets: read on from the one furthest behind.
-    stored = stored.groupBy(*LANE_KEY).agg(F.min("_level").alias("_level"),
-                                           F.bool_or("_by_sequence").alias("_by_sequence"))
-    position = F.when(F.col("_by_sequence"), F.col("sequence_number")).otherwise(waterlevel())
-    fresh = F.col("_level").isNull() if start == "earliest" else F.lit(False)
-    return (messages.join(small_side(stored), LANE_KEY, "left")
-            .where(fresh | (position > F.col("_level")))
-            .drop("_level", "_by_sequence"))
+    by_sequence = stored_sequence()
+    # The target furthest behind, of those known by sequence and of those known by offset.
+    stored = latest.groupBy(*LANE_KEY).agg(
+        F.min(by_sequence).alias("_sequence"),
+        F.min(F.when(by_sequence.isNull(), F.col("waterlevel"))).alias("_offset"))
+    own = F.col("offset").try_cast("bigint")
+    behind = (F.coalesce(F.col("sequence_number") > F.col("_sequence"), F.lit(False))
+              | (F.col("_offset").isNotNull()
+                 & F.coalesce(own > F.col("_offset"), F.lit(True))))
+    unknown = F.col("_sequence").isNull() & F.col("_offset").isNull()
+    fresh = unknown if start == "earliest" else F.lit(False)
+    return (messages.join(small_side(stored), LANE_KEY, "left").where(fresh | behind)
+            .drop("_sequence", "_offset"))
 
 
 def committed_positions(landed: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -134,10 +143,13 @@ def committed_positions(landed: DataFrame, keys: list[str] | None = None) -> Dat
 
 
 def checkpoint_lag(messages: DataFrame, latest: DataFrame) -> DataFrame:
-    """How far each partition's checkpoint is behind the messages that exist."""
+    """How far each target's checkpoint is behind the messages that exist in each partition.
+
+    A partition without a checkpoint has one row without a target.
+    """
     ends = messages.groupBy(*LANE_KEY).agg(
         F.max("sequence_number").alias("end_sequence"), F.count(F.lit(1)).alias("messages"))
-    stored = latest.select(*LANE_KEY, F.coalesce(_stored_sequence(), "waterlevel")
+    stored = latest.select(*CHECKPOINT_KEY, F.coalesce(stored_sequence(), "waterlevel")
                            .alias("checkpoint_sequence"))
     return (ends.join(stored, LANE_KEY, "left")
             .withColumn("lag", F.col("end_sequence")
@@ -176,6 +188,10 @@ def append_checkpoints(rows: DataFrame, path: str) -> None:
 
 def compact_checkpoints(spark: SparkSession, path: str, compacted: str,
                         monotone: bool = False) -> None:
-    """Write the latest rows of a log as a new log; readers then switch to ``compacted``."""
+    """Write the latest rows of a log as a new log; readers and writers then switch to it.
+
+    The new log has the folders that :func:`append_checkpoints` writes, so appends go on there.
+    """
     latest = latest_checkpoints(read_control_table(spark, path), monotone=monotone)
-    latest.select(schema.CHECKPOINT_LOG.names).write.mode("errorifexists").parquet(compacted)
+    (latest.select(schema.CHECKPOINT_LOG.names).repartition("run_id", "batch_id")
+     .write.mode("errorifexists").partitionBy("run_id", "batch_id").parquet(compacted))

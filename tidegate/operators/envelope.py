@@ -42,7 +42,7 @@ def to_envelope(messages: DataFrame, keep: list[str] | None = None,
         iso_timestamp("enqueued_time").alias("enqueued_time"),
         _json(messages, "properties"),
         _json(messages, "system_properties"),
-        iso_timestamp(stamp if stamp is not None else F.current_timestamp())
+        iso_timestamp(stamp if stamp is not None else utc_now())
         .alias("ingestion_timestamp"))
 
 
@@ -63,14 +63,26 @@ def land(envelopes: DataFrame, stamp: Column | None = None) -> DataFrame:
     return envelopes.select(_landing(kept, lambda name, kind: F.col(name).try_cast(kind), stamp))
 
 
+def _is_object(parsed: Column) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False))
+
+
+def rejected_staged(staged: DataFrame, column: str = "staged") -> DataFrame:
+    """Staged rows that :func:`land_staged` does not land, with their text and the reason."""
+    parsed = F.try_parse_json(column)
+    return staged.where(~_is_object(parsed)).withColumn(
+        "reason", F.when(F.col(column).isNull(), "no_text").when(parsed.isNull(), "no_json")
+        .otherwise("no_object"))
+
+
 def land_staged(staged: DataFrame, column: str = "staged",
                 stamp: Column | None = None) -> DataFrame:
     """Land rows staged as JSON text, one path per target column.
 
-    Text that is not JSON gives NULL columns, not an error.
+    Text that is no JSON object is not landed: :func:`rejected_staged` has it, as it came.
     """
     kept = [c for c in staged.columns if c != column]
-    parsed = staged.withColumn(column, F.try_parse_json(column))
+    parsed = staged.withColumn(column, F.try_parse_json(column)).where(_is_object(F.col(column)))
     return parsed.select(_landing(
         kept, lambda name, kind: F.try_variant_get(F.col(column), f"$.{name}", kind), stamp))
 

@@ -9,18 +9,18 @@ pure function of the row's own values, so a recomputed task lands in the same sl
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import micros
-from tidegate.session import BROADCAST_MAX_ROWS, pinned
+from tidegate.session import BROADCAST_MAX_ROWS, broadcast_if_small, pinned
 
 #: Rows one window task should hold at most, and the fewest worth a task of their own.
 SLOT_ROWS = 1_000_000
 MIN_SLOT_ROWS = 25_000
-_ROUNDS = 12
 #: Stands for NULL when a range is cut, so that NULL sorts first here as in a window.
 _NULL_RANK = -(1 << 61)
 
@@ -66,7 +66,7 @@ def slotted(df: DataFrame, keys: list[str], cut_on: list[str], slot_rows: int |
     values = [_as_long(df, c) for c in cut_on]
     lows, highs = ([f"_{end}{i}" for i in range(len(values))] for end in ("lo", "hi"))
     varies = reduce(or_, [F.col(lo) < F.col(hi) for lo, hi in zip(lows, highs, strict=True)])
-    for round_no in range(_ROUNDS + 1):
+    for round_no in count():
         slots = slot_columns(df)
         stats = pinned(df.groupBy(*keys, *(refine or []), *slots).agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -79,7 +79,8 @@ def slotted(df: DataFrame, keys: list[str], cut_on: list[str], slot_rows: int |
                            F.max(F.when(varies, F.col("_rows"))).alias("largest")).first()
         rows = found.rows or 0
         slot_rows = slot_rows or _task_rows(df, rows)
-        if round_no == _ROUNDS or (found.largest or 0) <= slot_rows:
+        # A cut puts the ends of a range into different slots, so this comes to an end.
+        if (found.largest or 0) <= slot_rows:
             break
         hot = groups.where((F.col("_rows") > slot_rows) & varies)
         if rows // slot_rows <= BROADCAST_MAX_ROWS:     # no more groups than this are hot
@@ -126,12 +127,32 @@ def ranked(df: DataFrame, ranks: dict[str, list[str]], order: list[str], cut_on:
     return df.drop(*[f"_before_{n}" for n in names], *slots)
 
 
+def _with_rank(df: DataFrame, name: str) -> DataFrame:
+    """Add ``_rank_<name>``, whole numbers in the order of a text column; NULL stays NULL.
+
+    Distinct values are sorted by ranges, so no task holds them all; ranks may have gaps.
+    """
+    rank = f"_rank_{name}"
+    values = df.where(F.col(name).isNotNull()).select(name).distinct()
+    ranks = pinned(values.repartitionByRange(name).sortWithinPartitions(name)
+                   .withColumn(rank, F.monotonically_increasing_id()))
+    return df.join(broadcast_if_small(ranks), name, "left")
+
+
 def with_arrival(messages: DataFrame, keys: list[str], time: str = "enqueued_time",
                  tie: list[str] | None = None, slot_rows: int | None = None) -> DataFrame:
-    """Number messages 0, 1, 2, ... per hub in order of time, then of ``tie``."""
+    """Number messages 0, 1, 2, ... per hub in order of time, then of ``tie``.
+
+    Messages of one instant, or without a time, are cut on the ties, text included.
+    """
     tie = tie or ["partition_id", "sequence_number"]
-    numeric = [c for c in tie if messages.schema[c].dataType.typeName()
-               in ("byte", "short", "integer", "long")]
-    # A later order column may only cut where all earlier ones are constant.
-    cut_on = [time] + (numeric if tie[:len(numeric)] == numeric else [])
-    return ranked(messages, {"arrival": keys}, [time] + tie, cut_on, slot_rows)
+    numeric = ("byte", "short", "integer", "long", "timestamp", "timestamp_ntz")
+    df, cut_on = messages, [time]
+    for name in tie:
+        if messages.schema[name].dataType.typeName() in numeric:
+            cut_on.append(name)
+        else:
+            df = _with_rank(df, name)
+            cut_on.append(f"_rank_{name}")
+    out = ranked(df, {"arrival": keys}, [time] + tie, cut_on, slot_rows)
+    return out.select(*messages.columns, "arrival")

@@ -24,9 +24,16 @@ def drop_replays(rows: DataFrame, order: str, identity: list[str] | None = None)
 
 
 def not_yet_landed(rows: DataFrame, landed: DataFrame) -> DataFrame:
-    """Rows whose message is not in the target; each lane reads only the slice it needs."""
+    """Rows whose message is not in the target; each lane reads only the slice it needs.
+
+    The range of all lanes together, one row, is pushed to the scan of the target.
+    """
     slices = small_side(rows.groupBy(*LANE_KEY).agg(F.min("sequence_number").alias("_from"),
                                                     F.max("sequence_number").alias("_to")))
+    span = slices.agg(F.min("_from"), F.max("_to")).first()
+    if span[0] is None:
+        return rows
+    landed = landed.where(F.col("sequence_number").between(*span))
     nearby = (landed.select(*IDENTITY).join(slices, LANE_KEY)
               .where(F.col("sequence_number").between(F.col("_from"), F.col("_to")))
               .select(*IDENTITY))

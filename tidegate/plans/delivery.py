@@ -80,14 +80,17 @@ def checkpoint_upsert_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints as they stood after batch 2."""
-    return checkpoints.latest_checkpoints(
-        frames.checkpoint_rows(spark, sf_dir).where("batch_id <= 2"))
+    """Checkpoints as they stood after batch 2; hub click feeds a second target, still at 1."""
+    log = frames.checkpoint_rows(spark, sf_dir)
+    second = log.where("eventhub = 'click' and batch_id <= 1").withColumn(
+        "target_table", F.lit("EVENTS_CLICK_COPY"))
+    return checkpoints.latest_checkpoints(log.where("batch_id <= 2").unionByName(second))
 
 
 def resume_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (checkpoints.resume_messages(event_messages(spark, sf_dir), _stored(spark, sf_dir),
-                                        start="earliest")
+    """Some messages carry offsets that are no numbers, as do some of the checkpoints."""
+    messages = frames.with_invalid_offsets(event_messages(spark, sf_dir))
+    return (checkpoints.resume_messages(messages, _stored(spark, sf_dir), start="earliest")
             .select("eventhub", "partition_id", "sequence_number", "offset"))
 
 
@@ -104,6 +107,18 @@ def checkpoint_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpoints.checkpoint_lag(event_messages(spark, sf_dir), _stored(spark, sf_dir))
 
 
+def compacted_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest waterlevels of a log that was compacted half-way and then appended to."""
+    log, folder = frames.control_log(spark, sf_dir), fresh_dir(spark, "control")
+    checkpoints.append_checkpoints(log.where("batch_id <= 2"), f"{folder}/old")
+    checkpoints.compact_checkpoints(spark, f"{folder}/old", f"{folder}/new")
+    checkpoints.append_checkpoints(log.where("batch_id > 2 and partition_id <> '0'"),
+                                   f"{folder}/new")
+    return checkpoints.latest_checkpoints(
+        checkpoints.read_control_table(spark, f"{folder}/new")).select(
+        *CHECKPOINT_KEY, "waterlevel", "batch_id")
+
+
 def committed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpoints.committed_positions(frames.routed(spark, sf_dir),
                                            ["target_table", "partition_id"])
@@ -151,7 +166,7 @@ QUERIES = {f.__name__: f for f in (
     batch_by_size, batch_by_size_or_age, batch_assignment, last_vs_max_sequence,
     batch_checkpoints, latest_checkpoint, hub_checkpoints, checkpoint_upsert,
     checkpoint_upsert_monotone, resume_messages, resume_listing, start_positions,
-    checkpoint_lag, committed_positions, dedup_replay, not_yet_landed,
+    checkpoint_lag, compacted_checkpoints, committed_positions, dedup_replay, not_yet_landed,
     recent_checkpoints_topk, bench_lineitem_ingest)}
 
 
@@ -178,8 +193,13 @@ _SUMMARY = """count(*) AS message_count,
   min(arrival) AS first_arrival, max(arrival) AS last_arrival,
   min(enqueued_time) AS first_enqueued, max(enqueued_time) AS last_enqueued"""
 _STORED = f"""{LOG},
-stored AS (SELECT * FROM log WHERE batch_id <= 2
-  QUALIFY row_number() OVER (PARTITION BY eventhub, partition_id ORDER BY ts_inserted DESC) = 1)"""
+twofold AS (SELECT * FROM log WHERE batch_id <= 2
+  UNION ALL SELECT * REPLACE ('EVENTS_CLICK_COPY' AS target_table) FROM log
+  WHERE eventhub = 'click' AND batch_id <= 1),
+stored AS (SELECT * FROM twofold QUALIFY row_number() OVER (
+  PARTITION BY eventhub, target_table, partition_id ORDER BY ts_inserted DESC) = 1),
+reached AS (SELECT eventhub, partition_id, min(sequence_number) AS sequence_number
+  FROM stored GROUP BY eventhub, partition_id)"""
 _UPSERT = f"""{LOG},
 cur AS (SELECT * FROM log WHERE batch_id % 2 = 0
   QUALIFY row_number() OVER (PARTITION BY eventhub, partition_id ORDER BY ts_inserted DESC) = 1),
@@ -221,27 +241,30 @@ WHERE NOT EXISTS (SELECT 1 FROM upd u
 SELECT {_KEY}, max(waterlevel) AS waterlevel
 FROM (SELECT * FROM cur UNION ALL SELECT * FROM upd) GROUP BY {_KEY}""",
     "resume_messages": f"""WITH {_STORED}
-SELECT m.eventhub, m.partition_id, m.sequence_number, m."offset"
-FROM msgs m LEFT JOIN stored s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id
-WHERE s.waterlevel IS NULL
-  OR CASE WHEN s.metadata LIKE '%"waterlevel_kind":"sequence"%' THEN m.sequence_number
-     ELSE CAST(m."offset" AS BIGINT) END > s.waterlevel""",
+SELECT m.eventhub, m.partition_id, m.sequence_number,
+  CASE WHEN m.event_id % 50 = 0 THEN 'invalid' ELSE m."offset" END AS "offset"
+FROM msgs m LEFT JOIN reached s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id
+WHERE s.sequence_number IS NULL OR m.sequence_number > s.sequence_number""",
     "resume_listing": f"""WITH {_STORED}
-SELECT eventhub_namespace, eventhub, partition_id,
+SELECT {_KEY},
   'group' || CASE eventhub WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
     ELSE 4 END AS consumer_group,
   CAST(waterlevel AS VARCHAR) AS "offset", sequence_number FROM stored""",
     "start_positions": f"""WITH {_STORED}
 SELECT DISTINCT m.eventhub_namespace, m.eventhub, m.partition_id,
-  coalesce(waterlevel + 1, -1) AS position
-FROM msgs m LEFT JOIN stored s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id""",
-    "checkpoint_lag": f"""WITH {_STORED}
-SELECT m.eventhub_namespace, m.eventhub, m.partition_id,
-  max(m.sequence_number) AS end_sequence, count(*) AS messages,
-  any_value(s.sequence_number) AS checkpoint_sequence,
-  max(m.sequence_number) - coalesce(any_value(s.sequence_number), -1) AS lag
-FROM msgs m LEFT JOIN stored s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id
-GROUP BY m.eventhub_namespace, m.eventhub, m.partition_id""",
+  coalesce(s.sequence_number + 1, -1) AS position
+FROM msgs m LEFT JOIN reached s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id""",
+    "checkpoint_lag": f"""WITH {_STORED},
+ends AS (SELECT eventhub_namespace, eventhub, partition_id, max(sequence_number) AS end_sequence,
+  count(*) AS messages FROM msgs GROUP BY eventhub_namespace, eventhub, partition_id)
+SELECT m.eventhub_namespace, m.eventhub, target_db, target_schema, target_table, m.partition_id,
+  end_sequence, messages, s.sequence_number AS checkpoint_sequence,
+  end_sequence - coalesce(s.sequence_number, -1) AS lag
+FROM ends m LEFT JOIN stored s ON m.eventhub = s.eventhub AND m.partition_id = s.partition_id""",
+    "compacted_checkpoints": f"""WITH {LOG}
+SELECT {_KEY}, waterlevel, batch_id FROM log
+WHERE batch_id <= 2 OR partition_id <> '0'
+QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY ts_inserted DESC) = 1""",
     "committed_positions": f"""WITH {ROUTED}
 SELECT target_table, partition_id, max(sequence_number) AS committed_sequence,
   count(*) AS landed_rows FROM routed GROUP BY target_table, partition_id""",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions import labels
+from tidegate.functions.names import ROUTING_RULES, is_account, is_sql_identifier
 from tidegate.functions.text import clean_map, clean_text, iso_timestamp
 from tidegate.operators import envelope, quality, replays, routing
 from tidegate.plans import frames
@@ -19,17 +20,21 @@ def envelope_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_json_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows staged as JSON text and landed path by path; every tenth text is cut short."""
+    """Rows staged as JSON text and landed path by path, six columns; every tenth is no JSON and
+    comes back as the text that it is, with the reason."""
     text = F.to_json(F.struct(
         F.col("props").alias("event_body"),
         (F.col("user_id") % 4).cast("string").alias("partition_id"),
         F.col("event_id").alias("sequence_number"),
-        iso_timestamp("ts").alias("enqueued_time")))
+        iso_timestamp("ts").alias("enqueued_time"),
+        F.concat(F.lit("{\"type\":\""), F.col("event_type"), F.lit("\"}")).alias("properties"),
+        F.concat(F.lit("{\"user\":"), F.col("user_id").cast("string"), F.lit("}"))
+        .alias("system_properties")))
     staged = table(spark, sf_dir, "events").select(
         "event_id", F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("#"), text))
         .otherwise(text).alias("staged"))
-    return envelope.land_staged(staged).drop(
-        "ingestion_timestamp", "properties", "system_properties")
+    return envelope.land_staged(staged).drop("ingestion_timestamp").unionByName(
+        envelope.rejected_staged(staged), allowMissingColumns=True)
 
 
 def null_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,12 +52,16 @@ def null_guard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bytes_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as bytes, followed by bytes that are not UTF-8."""
     raw = F.concat(F.encode("text", "utf-8"), F.unhex(F.lit("FFFE41")))
-    tags = F.create_map(F.encode(F.lit("lang"), "utf-8"), F.concat(
-        F.encode("lang", "utf-8"), F.unhex(F.lit("C3"))))
+    # Two keys that are not UTF-8 decode alike; the later one counts.
+    tags = F.create_map(
+        F.encode(F.lit("lang"), "utf-8"), F.concat(F.encode("lang", "utf-8"), F.unhex(F.lit("C3"))),
+        F.unhex(F.lit("FF")), F.encode("source", "utf-8"),
+        F.unhex(F.lit("FE")), F.encode(F.upper("source"), "utf-8"))
     clean = clean_map(tags)
     return table(spark, sf_dir, "documents").select(
         "doc_id", clean_text(raw).alias("cleaned"),
-        F.element_at(clean, "lang").alias("cleaned_lang"))
+        F.element_at(clean, "lang").alias("cleaned_lang"),
+        F.element_at(clean, "\ufffd").alias("alike"))
 
 
 def iso_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +111,17 @@ def quarantine_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.translate("p_name", " ", ".").alias("eventhub"), F.col("p_type").alias("hub_key"),
         F.col("p_name").alias("target_table"))
     names = customers.unionByName(suppliers).unionByName(parts)
-    marked = quality.checked(
-        names.withColumn("eventhub_namespace", ns)
-        .withColumn("consumer_group", F.when(F.col("id") % 5 == 0, F.lit("  ")).otherwise("g")))
-    return marked.select("src", "id", "eventhub", "hub_key", "target_table",
-                         F.array_join("reasons", ",").alias("reasons"))
+    blank = F.when(F.col("id") % 5 == 0, F.lit(" \t")).otherwise("g")
+    named = names.withColumns({
+        "eventhub_namespace": ns, "consumer_group": blank,
+        "target_db": F.when(F.col("id") % 7 == 0, F.lit("\n")).otherwise(F.lit(" DB-1 ")),
+        "target_schema": F.col("hub_key"), "target_key": F.upper("eventhub"),
+        "account": F.concat("eventhub", F.when(F.col("id") % 2 == 0, "!").otherwise(""))})
+    rules = {**ROUTING_RULES, "sql_identifier": ("target_table", is_sql_identifier),
+             "account": ("account", is_account)}
+    return quality.checked(named, rules).select(
+        "src", "id", "eventhub", "hub_key", "target_table",
+        F.array_join("reasons", ",").alias("reasons"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -132,12 +147,16 @@ SELECT eventhub, body AS event_body, partition_id, sequence_number, enqueued_tim
     || sequence_number || '"}}' END AS system_properties,
   partition_id || '_' || sequence_number AS row_id
 FROM msgs""",
-    "staged_json_landed": """SELECT event_id,
-  CASE WHEN event_id % 10 <> 0 THEN props END AS event_body,
-  CASE WHEN event_id % 10 <> 0 THEN CAST(user_id % 4 AS VARCHAR) END AS partition_id,
-  CASE WHEN event_id % 10 <> 0 THEN event_id END AS sequence_number,
-  CASE WHEN event_id % 10 <> 0 THEN ts END AS enqueued_time
-FROM events""",
+    "staged_json_landed": f"""WITH typed AS (SELECT event_id, props AS event_body,
+    CAST(user_id % 4 AS VARCHAR) AS partition_id, event_id AS sequence_number,
+    ts AS enqueued_time, '{{"type":"' || event_type || '"}}' AS properties,
+    '{{"user":' || user_id || '}}' AS system_properties, {_iso('ts')} AS iso FROM events)
+SELECT * EXCLUDE (iso), NULL AS staged, NULL AS reason FROM typed WHERE event_id % 10 <> 0
+UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL,
+  '#' || CAST(json_object('event_body', event_body, 'partition_id', partition_id,
+    'sequence_number', sequence_number, 'enqueued_time', iso, 'properties', properties,
+    'system_properties', system_properties) AS VARCHAR), 'no_json'
+FROM typed WHERE event_id % 10 = 0""",
     "null_guard": f"""WITH {MSGS}
 SELECT eventhub, partition_id, sequence_number, "offset" FROM msgs WHERE event_id % 97 <> 0""",
     "null_guard_report": f"""WITH {MSGS}
@@ -145,7 +164,7 @@ SELECT eventhub, partition_id, count(*) FILTER (event_id % 97 <> 0) AS kept,
   count(*) FILTER (event_id % 97 = 0) AS dropped
 FROM msgs GROUP BY eventhub, partition_id""",
     "bytes_clean": """SELECT doc_id, text || chr(65533) || chr(65533) || 'A' AS cleaned,
-  lang || chr(65533) AS cleaned_lang FROM documents""",
+  lang || chr(65533) AS cleaned_lang, upper(source) AS alike FROM documents""",
     "iso_timestamps": f"""SELECT 'orders' AS src, o_orderkey AS id, {_iso('o_orderdate')} AS iso
 FROM orders UNION ALL SELECT 'events', event_id, {_iso('ts')} FROM events""",
     "lineage_labels": f"""WITH {ROUTED}
@@ -171,8 +190,14 @@ checked AS (SELECT *,
   {_broken('namespace', "id % 3 <> 0")}
   || {_broken('eventhub', "regexp_full_match(eventhub, '[a-zA-Z0-9][a-zA-Z0-9._-]*[a-zA-Z0-9]')")}
   || {_broken('consumer_group', "id % 5 <> 0")}
-  || {_broken('target_table', "regexp_full_match(translate(target_table, '_$-', ''), '[a-zA-Z0-9]+')")}
-  || {_broken('hub_key', "regexp_full_match(hub_key, '[A-Z0-9_]+')")} AS broken
+  || {_broken('target_db', "id % 7 <> 0")}
+  || {_broken('target_schema', "regexp_full_match(translate(trim(hub_key), '_$-', ''), '[a-zA-Z0-9]+')")}
+  || {_broken('target_table', "regexp_full_match(translate(trim(target_table), '_$-', ''), '[a-zA-Z0-9]+')")}
+  || {_broken('hub_key', "regexp_full_match(hub_key, '[A-Z0-9_]+')")}
+  || {_broken('target_key', "regexp_full_match(upper(eventhub), '[A-Z0-9_]+')")}
+  || {_broken('sql_identifier', "regexp_full_match(target_table, '[A-Za-z0-9_$]+')")}
+  || {_broken('account', "id % 2 <> 0 AND regexp_full_match(eventhub, '[A-Za-z0-9._-]+')")}
+  AS broken
   FROM named)
 SELECT src, id, eventhub, hub_key, target_table, substr(broken, 2) AS reasons FROM checked""",
 }

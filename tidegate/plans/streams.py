@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import checkpoints
 from tidegate.plans import delivery, frames
-from tidegate.plans.frames import ROUTED
+from tidegate.plans.frames import MSGS, ROUTED
 from tidegate.session import fresh_dir
 from tidegate.sources import hub
 from tidegate.sources.tables import event_messages
 from tidegate.streaming import ingest
 from tidegate.streaming.sized import SizedBatches
-from tidegate.streaming.sink import TableSink, read_target
+from tidegate.streaming.sink import TableSink, read_rejected, read_target
 
 DRAIN = {"availableNow": True}
 
@@ -64,6 +64,31 @@ def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("sequence_number").alias("last_sequence")))
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed and kept back, by target and reasons; together they are all received.
+
+    Some messages lack a sequence number, one hub has no target, and the names of one mapping
+    break a rule.
+    """
+    folder = fresh_dir(spark, "quarantine")
+    holes = event_messages(spark, sf_dir).withColumn(
+        "sequence_number", F.when(F.col("event_id") % 97 != 0, F.col("sequence_number")))
+    hub.write_hub(holes, f"{folder}/hub")
+    bad = F.when(F.col("eventhub") == "error", F.lit("  \t")).otherwise(F.col("consumer_group"))
+    query = ingest.start_ingest(
+        hub.file_hub(spark, f"{folder}/hub"),
+        frames.mapping(spark).withColumn("consumer_group", bad), _sink(folder),
+        f"{folder}/progress", DRAIN)
+    query.awaitTermination()
+    landed = read_target(spark, f"{folder}/target").withColumn("reasons", F.lit(""))
+    kept = read_rejected(spark, f"{folder}/target")
+    columns = ["eventhub", "partition_id", "event_body", "reasons"]
+    return (landed.select(*columns).unionByName(kept.select(*columns))
+            .groupBy("eventhub", "partition_id", "reasons")
+            .agg(F.count(F.lit(1)).alias("messages"),
+                 F.sum(F.length("event_body")).alias("characters")))
+
+
 def stream_sized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size-or-age batches of everything a stored hub holds, as one micro-batch."""
     folder = fresh_dir(spark, "sized")
@@ -77,6 +102,7 @@ def stream_sized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (stream_ingest, stream_checkpoints, stream_multi_target,
+                                   stream_quarantine,
                                    stream_sized_batches)}
 
 ORACLES = {
@@ -88,6 +114,11 @@ FROM routed""",
     "stream_checkpoints": f"""WITH {ROUTED}
 SELECT eventhub_namespace, eventhub, target_table, partition_id, max(event_id) AS waterlevel
 FROM routed GROUP BY eventhub_namespace, eventhub, target_table, partition_id""",
+    "stream_quarantine": f"""WITH {MSGS}
+SELECT eventhub, partition_id, concat_ws(',', CASE WHEN event_id % 97 = 0 THEN 'no_sequence' END,
+    CASE eventhub WHEN 'view' THEN 'unroutable' WHEN 'error' THEN 'consumer_group' END) AS reasons,
+  count(*) AS messages, CAST(sum(length(body)) AS BIGINT) AS characters
+FROM msgs GROUP BY ALL""",
     "stream_sized_batches": f"""WITH RECURSIVE {delivery.sized_steps(frames.BATCH, delivery.DAY)}
 SELECT eventhub, partition_id, sequence_number, batch_id
 FROM steps JOIN msgs USING (eventhub, arrival)""",

@@ -15,13 +15,6 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Read and print every timestamp in UTC, the zone hubs stamp messages in."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schema
+from tidegate.functions.text import clean_text, last_per_key, utc
+from tidegate.operators.checkpoints import stored_sequence
 
 
 def kafka_hub(spark: SparkSession, servers: str, hubs: list[str],
@@ -29,17 +31,17 @@ def kafka_hub(spark: SparkSession, servers: str, hubs: list[str],
 
 def from_kafka(records: DataFrame, namespace: str) -> DataFrame:
     """Kafka records, batch or stream, as messages. Records without a value are dropped."""
-    headers = F.map_from_entries(F.array_distinct(F.transform(
+    headers = last_per_key(F.transform(
         F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"].alias("key"),
-                           F.make_valid_utf8(h["value"].cast("string")).alias("value")))))
+        lambda h: F.struct(clean_text(h["key"]).alias("key"),
+                           clean_text(h["value"]).alias("value"))))
     return records.where(F.col("value").isNotNull()).select(
         F.lit(namespace).alias("eventhub_namespace"),
         F.col("topic").alias("eventhub"),
         F.col("partition").cast("string").alias("partition_id"),
         F.col("offset").cast("bigint").alias("sequence_number"),
         F.col("offset").cast("string").alias("offset"),
-        F.col("timestamp").cast("timestamp_ntz").alias("enqueued_time"),
+        utc(F.col("timestamp")).alias("enqueued_time"),
         F.col("value").alias("body"),
         headers.alias("properties"),
         F.create_map(F.lit("offset"), F.col("offset").cast("string"),
@@ -69,14 +71,18 @@ def write_hub(messages: DataFrame, path: str, files: int | None = None) -> None:
 
 def start_positions(latest: DataFrame, hub_partitions: DataFrame,
                     start: str = "latest") -> DataFrame:
-    """Next position per partition: after the checkpoint, else -1 (latest) or -2 (earliest)."""
+    """Next position per partition: after the checkpoint, else -1 (latest) or -2 (earliest).
+
+    A position counts messages, so it follows the stored sequence number; the waterlevel stands
+    in only where a checkpoint kept nothing else. The target furthest behind decides.
+    """
     if start not in ("earliest", "latest"):
         raise ValueError(f"start must be 'earliest' or 'latest', not {start!r}")
     fresh = -1 if start == "latest" else -2
-    stored = latest.groupBy(*schema.LANE_KEY).agg(F.min("waterlevel").alias("waterlevel"))
+    stored = latest.groupBy(*schema.LANE_KEY).agg(F.min(F.coalesce(stored_sequence(), "waterlevel")).alias("reached"))
     return (hub_partitions.select(*schema.LANE_KEY).distinct()
             .join(stored, schema.LANE_KEY, "left")
-            .select(*schema.LANE_KEY, F.coalesce(F.col("waterlevel") + 1, F.lit(fresh))
+            .select(*schema.LANE_KEY, F.coalesce(F.col("reached") + 1, F.lit(fresh))
                     .cast("bigint").alias("position")))
 
 

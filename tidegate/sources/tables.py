@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidegate import schema
 from tidegate.operators.ranking import ranked
-from tidegate.session import use_utc
 
 NAMESPACE = "ns.servicebus.windows.net"
 EVENT_PARTITIONS = 4
@@ -19,7 +18,6 @@ LINEITEM_PARTITIONS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

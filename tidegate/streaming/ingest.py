@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import re
 import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidegate.operators.routing import HUB
+from tidegate.session import small_side
 from tidegate.streaming.sink import TableSink, prepare
 
 #: How often the age of the open micro-batch is looked at, unless a trigger is given.
@@ -18,16 +21,19 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
 def start_ingest(messages: DataFrame, mapping: DataFrame, sink: TableSink, checkpoint: str,
                  trigger: dict | None = None, name: str | None = None,
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 rules: dict | None = None) -> StreamingQuery:
     """Deliver a message stream into the mapped targets.
 
+    ``rules`` are those that the names of a mapping must keep, by default all of them.
+
     ``trigger={"availableNow": True}`` drains what is there and stops. ``transform`` is the
     user's step on the rows of a batch, applied before they are written.
     """
     counted = messages.observe(
         f"messages_{name or sink.run_id}", F.count(F.lit(1)).alias("received"),
         F.count_if(F.col("sequence_number").isNull()).alias("without_sequence"))
-    rows = prepare(counted, mapping)
+    rows = prepare(counted, mapping, rules)
     if transform is not None:
         rows = rows.transform(transform)
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -43,8 +49,10 @@ def start_per_mapping(messages: DataFrame, mapping: DataFrame, keys: list[str],
     queries = {}
     for key in keys:
         folder = re.sub(r"[^A-Za-z0-9_]", "_", key)
-        queries[key] = start_ingest(messages, mapping.where(F.col("mapping_key") == key),
-                                    sink_for(key), f"{checkpoint}/{folder}", trigger)
+        mine = mapping.where(F.col("mapping_key") == key)
+        # Messages of other hubs are another query's; none of them is a message without a route.
+        own = messages.join(small_side(mine.select(*HUB).distinct()), HUB, "left_semi")
+        queries[key] = start_ingest(own, mine, sink_for(key), f"{checkpoint}/{folder}", trigger)
     return queries
 
 
@@ -73,15 +81,44 @@ def stop_gracefully(query: StreamingQuery, seconds: float = 60) -> None:
     query.stop()
 
 
+PROGRESS = """run_id STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT,
+    rows_per_second DOUBLE, received BIGINT, without_sequence BIGINT"""
+
+
+def _progress_row(p) -> tuple:
+    seen = next((row for name, row in (p["observedMetrics"] or {}).items()
+                 if name.startswith("messages_")), None)
+    return (str(p["runId"]), int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
+            float(p["processedRowsPerSecond"] or 0.0), int(seen["received"]) if seen else None,
+            int(seen["without_sequence"]) if seen else None)
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent micro-batches of a query with their observed counts, one row each."""
-    rows = []
-    for p in query.recentProgress:
-        seen = next(iter((p["observedMetrics"] or {}).values()), None)
-        rows.append((str(p["runId"]), int(p["batchId"]), str(p["timestamp"]),
-                     int(p["numInputRows"]), float(p["processedRowsPerSecond"] or 0.0),
-                     int(seen["received"]) if seen else None,
-                     int(seen["without_sequence"]) if seen else None))
-    return spark.createDataFrame(rows, """
-        run_id STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT,
-        rows_per_second DOUBLE, received BIGINT, without_sequence BIGINT""")
+    """The latest micro-batches of a query with their observed counts, one row each.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them; :class:`ProgressLog`
+    stores all.
+    """
+    return spark.createDataFrame([_progress_row(p) for p in query.recentProgress], PROGRESS)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends every micro-batch of the session's queries to a table, for as long as it is
+    registered with ``spark.streams.addListener``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = _progress_row(json.loads(event.progress.json))
+        (self.spark.createDataFrame([row], PROGRESS).coalesce(1)
+         .write.mode("append").parquet(self.path))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
