@@ -35,9 +35,13 @@ CHUNK_ROWS = 1_000_000
 FAN_IN = 256
 
 
-def batches_by_size(messages: DataFrame, max_size: int = MAX_SIZE) -> DataFrame:
-    """Add ``batch_id`` to messages that carry ``arrival``. No shuffle."""
-    return messages.withColumn("batch_id", F.floor(F.col("arrival") / max_size).cast("bigint"))
+def batches_by_size(messages: DataFrame, max_size: int | str = MAX_SIZE) -> DataFrame:
+    """Add ``batch_id`` to messages that carry ``arrival``. No shuffle.
+
+    ``max_size`` is a number or the column that holds it, so each target can have its own.
+    """
+    size = F.col(max_size) if isinstance(max_size, str) else F.lit(max_size)
+    return messages.withColumn("batch_id", F.floor(F.col("arrival") / size).cast("bigint"))
 
 
 def assign_batches(messages: DataFrame, max_size: int = MAX_SIZE,
@@ -48,7 +52,7 @@ def assign_batches(messages: DataFrame, max_size: int = MAX_SIZE,
                    opening: DataFrame | None = None) -> DataFrame:
     """Add ``arrival`` (if missing) and ``batch_id`` per hub.
 
-    Arrival must follow ``time``. ``max_wait_seconds=None`` leaves out the age bound.
+    Arrival must follow ``time``; where it does not, this raises. ``max_wait_seconds=None`` leaves out the age bound.
     ``opening`` holds batches that earlier messages left open: the keys, ``batch_id``, the
     messages ``held`` and the time of creation ``created`` in microseconds.
     """
@@ -101,6 +105,8 @@ def _chunk_summary(keys: list[str], max_size: int, max_wait: int, chunk_rows: in
         rows = rows.sort_values("arrival")
         chunk = int(rows["_chunk"].iloc[0])
         arrival, t = rows["arrival"].to_numpy(), rows["_t"].to_numpy()
+        if (np.diff(t) < 0).any():
+            raise ValueError("times fall while arrival rises: batches by age need them in order")
         lo = chunk * chunk_rows
         hi = min(lo + chunk_rows, int(arrival[-1]) + 1)
         if hi <= lo:
@@ -161,6 +167,8 @@ def _chunk_marks(keys: list[str], max_size: int, max_wait: int, chunk_rows: int)
         rows = rows.sort_values("arrival")
         chunk = int(rows["_chunk"].iloc[0])
         arrival, t = rows["arrival"].to_numpy(), rows["_t"].to_numpy()
+        if (np.diff(t) < 0).any():
+            raise ValueError("times fall while arrival rises: batches by age need them in order")
         lo = chunk * chunk_rows
         hi = min(lo + chunk_rows, int(arrival[-1]) + 1)
         if hi <= lo:

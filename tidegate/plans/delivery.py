@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.operators import batching, checkpoints, replays
+from tidegate.operators.routing import route
 from tidegate.plans import frames
 from tidegate.plans.frames import BATCH, LOG, MSGS, ROUTED
 from tidegate.schema import CHECKPOINT_KEY
@@ -27,6 +28,15 @@ def batch_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(frames.batched(spark, sf_dir))
 
 
+def batch_by_target_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of the size that each target asks for."""
+    routed = route(event_messages(spark, sf_dir), frames.mapping(spark))
+    return (batching.batches_by_size(routed, "batch_size")
+            .groupBy("target_table", "batch_id")
+            .agg(F.count(F.lit(1)).alias("message_count"),
+                 F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival")))
+
+
 def batch_by_size_or_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(batching.assign_batches(event_messages(spark, sf_dir), BATCH, DAY))
 
@@ -163,7 +173,7 @@ def bench_lineitem_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    batch_by_size, batch_by_size_or_age, batch_assignment, last_vs_max_sequence,
+    batch_by_size, batch_by_target_size, batch_by_size_or_age, batch_assignment, last_vs_max_sequence,
     batch_checkpoints, latest_checkpoint, hub_checkpoints, checkpoint_upsert,
     checkpoint_upsert_monotone, resume_messages, resume_listing, start_positions,
     checkpoint_lag, compacted_checkpoints, committed_positions, dedup_replay, not_yet_landed,
@@ -211,6 +221,10 @@ ORACLES = {
     "batch_by_size": f"""WITH {MSGS}
 SELECT eventhub, arrival // {BATCH} AS batch_id, {_SUMMARY}
 FROM msgs GROUP BY eventhub, arrival // {BATCH}""",
+    "batch_by_target_size": f"""WITH {ROUTED}
+SELECT target_table, arrival // batch_size AS batch_id, count(*) AS message_count,
+  min(arrival) AS first_arrival, max(arrival) AS last_arrival
+FROM routed GROUP BY target_table, arrival // batch_size""",
     "batch_by_size_or_age": f"""WITH RECURSIVE {sized_steps(BATCH, DAY)}
 SELECT eventhub, batch_id, {_SUMMARY}
 FROM steps JOIN msgs USING (eventhub, arrival) GROUP BY eventhub, batch_id""",

@@ -131,7 +131,7 @@ mapping AS (
   FROM hubs h JOIN targets t ON h.n = t.n)"""
 ROUTED = f"""{MSGS}, {MAPPING},
 routed AS (
-  SELECT m.*, mapping_key, consumer_group, target_db, target_schema, target_table,
+  SELECT m.*, mapping_key, consumer_group, target_db, target_schema, target_table, batch_size,
     arrival // {BATCH} AS batch_id
   FROM msgs m JOIN mapping p ON m.eventhub = p.eventhub)"""
 LOG = f"""{ROUTED},

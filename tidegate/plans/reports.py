@@ -103,8 +103,7 @@ def pipeline_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    errors = frames.error_log(spark, sf_dir).where("error_type = 'ConnectionError'")
-    return stats.health_rollup(frames.batches(spark, sf_dir), errors)
+    return stats.health_rollup(frames.batches(spark, sf_dir), frames.error_log(spark, sf_dir))
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +272,7 @@ FROM batches GROUP BY ROLLUP (mapping_key)""",
     "health_rollup": f"""WITH {BATCHES}, fails AS (
   SELECT mapping_key, count(*) AS errors, max(ts) AS last_error_at
   FROM ({frames._ERROR_LOG.format(events='events', mapping='mapping')})
-  WHERE error_type = 'ConnectionError' GROUP BY mapping_key),
+  GROUP BY mapping_key),
 runs AS (SELECT mapping_key, count(*) AS batches,
     count(*) FILTER (NOT success) AS failed_batches, arg_max(success, batch_id) AS sink_ok,
     max(finished_at) AS last_seen

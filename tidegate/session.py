@@ -37,7 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call has used."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append(path)
+    return path
 
 
 def pinned(df: DataFrame) -> DataFrame:
@@ -46,8 +48,26 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Folders that :func:`fresh_dir` has given out and :func:`release` has not deleted.
+_GIVEN: list[str] = []
+#: Small frames without an input file that were pinned, by application and plan.
+_PINNED: dict[tuple[str, int], list[tuple[DataFrame, DataFrame]]] = {}
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that was stored so far. Frames that read it can no longer be computed."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _GIVEN:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
+        place.getFileSystem(conf).delete(place, True)
+    _PINNED.clear()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame of any size to the shared folder and read it back, column by column."""
+    """Write a frame of any size to the shared folder and read it back, column by column.
+
+    It stays there until :func:`release`, as the frame returned may be computed at any time.
+    """
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -70,5 +90,16 @@ def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 
 def small_side(df: DataFrame) -> DataFrame:
-    """Compute a join side once, then broadcast it if it turns out small."""
-    return broadcast_if_small(pinned(df))
+    """Compute a join side once, then broadcast it if it turns out small.
+
+    A side that reads no file, such as a mapping given as rows, is computed once per session.
+    """
+    if df.isStreaming or df.inputFiles():
+        return broadcast_if_small(pinned(df))
+    known = _PINNED.setdefault((df.sparkSession.sparkContext.applicationId, df.semanticHash()), [])
+    for plan, side in known:
+        if plan.columns == df.columns and plan.sameSemantics(df):
+            return side
+    side = broadcast_if_small(pinned(df))
+    known.append((df, side))
+    return side
