@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -10,9 +12,24 @@ from tidegate.llm.common import ship
 ship(__name__)
 
 
+def list_ends(lists: pa.ListArray) -> np.ndarray:
+    """Where the rows of a list column begin in its flat values, and the end of the last."""
+    lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
+def row_slices(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole rows with ``limit`` values at most, or a single row."""
+    row, rows = 0, len(ends) - 1
+    while row < rows:
+        stop = int(np.searchsorted(ends, ends[row] + limit, "right")) - 1
+        stop = min(max(row + 1, stop), rows)
+        yield row, stop
+        row = stop
+
+
 def distinct_words(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words of a list column, the number of each word in order, and row offsets."""
     words = lists.flatten().dictionary_encode()
-    lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    return words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False), ends
+    return (words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False),
+            list_ends(lists))

@@ -25,13 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.arrow import list_ends, row_slices
 from tidegate.llm.common import body, ship
 
 ship(__name__)
 
-#: Pieces in one query, and tokens in one slice of a batch: they bound the memory of a task.
-QUERY_PIECES = 50_000
-SLICE_TOKENS = 500_000
+#: Distinct pieces in one query, pieces and tokens in one slice of a batch, and the memory of a
+#: database: they bound the memory of a task. One text may have more of either.
+QUERY_PIECES = 20_000
+SLICE_PIECES = 2_000_000
+SLICE_TOKENS = 250_000
+DATABASE = {"threads": 1, "memory_limit": "200MB"}
 #: Pieces of more bytes are contracted by LONG.
 SHORT_BYTES = 64
 #: Contractions in one query; a longer piece continues in the next.
@@ -94,7 +98,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def _connect(ranks: dict[bytes, int]) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "350MB"})
+    con = duckdb.connect(config=DATABASE)
     splits = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
               if t[:i] in ranks and t[i:] in ranks]
     columns = np.array(splits, np.int32).reshape(-1, 3).T
@@ -157,37 +161,34 @@ def _encoder(shared):
         con = _connect(ranks)
         first = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         for batch in batches:
-            lists = batch.column("pieces")
-            words = lists.flatten().dictionary_encode()
-            distinct = words.dictionary.cast(pa.large_binary())
-            offsets = np.frombuffer(distinct.buffers()[1], np.int64)[
-                distinct.offset:distinct.offset + len(distinct) + 1]
-            data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)[
-                offsets[0]:offsets[-1]] if len(distinct) else np.zeros(0, np.uint8)
-            ids, counts = _encode_pieces(con, first, data, np.diff(offsets))
-            begin = np.cumsum(counts) - counts
-            index = words.indices.to_numpy(zero_copy_only=False)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            ends -= ends[0]
-            row = 0
-            while row < len(lists):     # slices of whole rows
-                stop = max(row + 1, int(np.searchsorted(ends, ends[row] + SLICE_TOKENS)) - 1)
-                stop = min(stop, len(lists))
-                here = index[ends[row]:ends[stop]]
-                n = np.concatenate([[0], np.cumsum(counts[here])])
-                values = ids[_flat(begin[here], counts[here])]
-                marks = n[ends[row:stop + 1] - ends[row]].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, stop - row),
-                     pa.ListArray.from_arrays(pa.array(marks), pa.array(values, pa.int32()))],
-                    ["doc_id", "ids"])
-                row = stop
+            every = batch.column("pieces")
+            for top, bottom in row_slices(list_ends(every), SLICE_PIECES):
+                lists = every.slice(top, bottom - top)
+                ends = list_ends(lists)
+                words = lists.flatten().dictionary_encode()
+                distinct = words.dictionary.cast(pa.large_binary())
+                offsets = np.frombuffer(distinct.buffers()[1], np.int64)[
+                    distinct.offset:distinct.offset + len(distinct) + 1]
+                data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)
+                data = data[offsets[0]:offsets[-1]] if len(distinct) else data[:0]
+                ids, counts = _encode_pieces(con, first, data, np.diff(offsets))
+                begin = np.cumsum(counts) - counts
+                index = words.indices.to_numpy(zero_copy_only=False)
+                total = np.concatenate([[0], np.cumsum(counts[index])])     # ids before a piece
+                for row, stop in row_slices(total[ends], SLICE_TOKENS):
+                    here = index[ends[row]:ends[stop]]
+                    marks = (total[ends[row:stop + 1]] - total[ends[row]]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(top + row, stop - row),
+                         pa.ListArray.from_arrays(pa.array(marks), pa.array(
+                             ids[_flat(begin[here], counts[here])], pa.int32()))],
+                        ["doc_id", "ids"])
     return encode_batches
 
 
 def _decoder(shared):
     def decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = duckdb.connect(config={"threads": 1, "memory_limit": "350MB"})
+        con = duckdb.connect(config=DATABASE)
         ranks = shared.value
         con.register("rows", pa.table({"id": pa.array(ranks.values(), pa.int32()),
                                        "bytes": pa.array([t.hex() for t in ranks])}))
@@ -196,16 +197,12 @@ def _decoder(shared):
         known[list(ranks.values())] = True
         for batch in batches:
             lists = batch.column("ids")
-            ends = np.concatenate([[0], np.cumsum(np.nan_to_num(
-                lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))])
+            ends = list_ends(lists)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             if len(flat) and not (0 <= flat.min() and flat.max() < len(known)
                                   and known[flat].all()):
                 raise ValueError("an id is not in the vocabulary")
-            row = 0
-            while row < len(lists):
-                stop = max(row + 1, int(np.searchsorted(ends, ends[row] + SLICE_TOKENS)) - 1)
-                stop = min(stop, len(lists))
+            for row, stop in row_slices(ends, SLICE_TOKENS):
                 n = np.diff(ends[row:stop + 1])
                 ids = flat[ends[row]:ends[stop]]
                 con.register("tokens", pa.table({
@@ -219,7 +216,6 @@ def _decoder(shared):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, stop - row), lists.slice(row, stop - row),
                      pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
-                row = stop
     return decode_batches
 
 

@@ -20,7 +20,6 @@ go to the first language in alphabetical order; repeated rows each get their res
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegate.llm.arrow import distinct_words
+from tidegate.llm.arrow import distinct_words, list_ends, row_slices
 from tidegate.llm.common import body, ship
 
 ship(__name__)
@@ -39,9 +38,11 @@ SAMPLE_DOCS = 100
 LEXICON = 400
 BITS = 18
 ROUNDS = 30
-#: Words whose probabilities a task holds at a time, unless one text has more.
-SLICE_WORDS = 500_000
-CHUNK_WORDS = 100_000
+#: Words that a task looks up, computes probabilities for and hashes at a time. One text may
+#: have more. They bound its memory.
+BATCH_WORDS = 1_000_000
+SLICE_WORDS = 200_000
+CHUNK_WORDS = 20_000
 
 
 def held_out(id_: Column, folds: int, fold: int) -> Column:
@@ -219,41 +220,47 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fit(labels, [(labels.index(r.lang), r.lines) for r in sample])
 
 
+def _label(model: Model, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Label number and score of rows of words."""
+    words, index, ends = distinct_words(lists)
+    lengths = np.diff(ends)
+    best, score = np.full(len(lengths), -1), np.zeros(len(lengths))
+    if not model.labels:
+        return best, score
+    weights = emissions(model, words)
+    by_length = np.argsort(lengths, kind="stable")
+    filled = by_length[lengths[by_length] > 0]
+    for row, stop in row_slices(np.concatenate([[0], np.cumsum(lengths[filled])]), SLICE_WORDS):
+        some = filled[row:stop]
+        bounds = np.concatenate([[0], np.cumsum(lengths[some])])
+        at = np.arange(bounds[-1]) + np.repeat(ends[some] - bounds[:-1], lengths[some])
+        chance, _ = marginals(model, weights[index[at]].astype(np.float64), bounds)
+        mean = np.add.reduceat(chance, bounds[:-1], axis=0) / lengths[some][:, None]
+        best[some], score[some] = mean.argmax(axis=1), np.clip(mean.max(axis=1), 0, 1)
+    return best, score
+
+
 def _labeller(shared):
-    def label_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(lists: pa.Array) -> pa.Array:
         model = shared.value
-        for batch in batches:
-            words, index, ends = distinct_words(batch.column("words"))
-            n = len(ends) - 1
-            best, score = np.full(n, -1), np.zeros(n)
-            weights = emissions(model, words) if model.labels else None
-            by_length = np.argsort(np.diff(ends), kind="stable")
-            filled = by_length[np.diff(ends)[by_length] > 0] if model.labels else by_length[:0]
-            sizes = np.cumsum(np.diff(ends)[filled])
-            row = 0
-            while row < len(filled):
-                done = sizes[row - 1] if row else 0
-                stop = max(row + 1, int(np.searchsorted(sizes, done + SLICE_WORDS)))
-                some = filled[row:stop]
-                length = np.diff(ends)[some]
-                bounds = np.concatenate([[0], np.cumsum(length)])
-                at = np.arange(bounds[-1]) + np.repeat(ends[some] - bounds[:-1], length)
-                chance, _ = marginals(model, weights[index[at]].astype(np.float64), bounds)
-                mean = np.add.reduceat(chance, bounds[:-1], axis=0) / length[:, None]
-                best[some], score[some] = mean.argmax(axis=1), np.clip(mean.max(axis=1), 0, 1)
-                row = stop
-            names = np.array([*model.labels, UNKNOWN], object)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(batch.num_columns - 1)],
-                 pa.array(names[best], pa.string()), pa.array(score)],
-                [*batch.schema.names[:-1], "lang_pred", "score"])
-    return label_batches
+        names = np.array([*model.labels, UNKNOWN], object)
+        parts = [_label(model, lists.slice(row, stop - row))
+                 for row, stop in row_slices(list_ends(lists), BATCH_WORDS)]
+        best = np.concatenate([np.zeros(0, np.int64), *(b for b, _ in parts)])
+        score = np.concatenate([np.zeros(0), *(s for _, s in parts)])
+        return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)],
+                                          ["lang_pred", "score"])
+    return label
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text",
              keep: tuple[str, ...] = ("*",)) -> DataFrame:
-    """The columns ``keep`` of ``df`` as the struct ``row``, with ``lang_pred`` and ``score``."""
+    """The columns ``keep`` of ``df`` as the struct ``row``, with ``lang_pred`` and ``score``.
+
+    Only the words go to Python; the rows themselves stay in the JVM.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    rows = df.select(F.struct(*keep).alias("row"), word_list(F.col(f"`{text_col}`")).alias("words"))
-    schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(_labeller(shared), schema)
+    label = F.arrow_udf(_labeller(shared), "struct<lang_pred:string,score:double>")
+    return (df.select(F.struct(*keep).alias("row"),
+                      label(word_list(F.col(f"`{text_col}`"))).alias("found"))
+            .select("row", "found.*"))
