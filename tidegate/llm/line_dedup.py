@@ -145,7 +145,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_deleted(df: DataFrame, gone: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with ``kept`` text, ``n_lines`` and ``n_deleted`` lines."""
+    """The rows of ``df`` as the struct ``row``, with ``kept`` text, ``n_lines`` and ``n_deleted``."""
     text = body(F.col(f"`{text_col}`").cast("string"))
     id_ = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     none = F.array().cast("array<int>")
@@ -155,7 +155,7 @@ def without_deleted(df: DataFrame, gone: DataFrame, text_col: str = "text") -> D
     return (df.select(F.struct("*").alias("row"), text.alias("body"))
             .withColumns({"oid": id_, "th": F.xxhash64("body")})
             .join(gone, _DOC, "left").withColumn("gone", F.coalesce("gone", none))
-            .select("row.*", F.when(F.size("gone") == 0, F.col("body"))
+            .select("row", F.when(F.size("gone") == 0, F.col("body"))
                     .when(kept.rlike(_WORD), kept).otherwise("").alias("kept"),
                     F.size(F.split("body", "\n")).alias("n_lines"),
                     F.size("gone").alias("n_deleted")))
@@ -165,4 +165,5 @@ def deduplicated(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
                  text_col: str = "text") -> DataFrame:
     """doc_id, the original ``text``, ``kept`` text, lines and deleted lines of every row."""
     docs = id_and_text(df, id_col, text_col)
-    return without_deleted(docs, deleted_lines(keyed(docs, "doc_id", "text"), min_words))
+    gone = deleted_lines(keyed(docs, "doc_id", "text"), min_words)
+    return without_deleted(docs, gone).select("row.*", "kept", "n_lines", "n_deleted")
