@@ -33,13 +33,13 @@ ship(__name__)
 #: Distinct pieces in one query, pieces and tokens in one slice of a batch, and the memory of a
 #: database: they bound the memory of a task. One text may have more of either.
 QUERY_PIECES = 20_000
-SLICE_PIECES = 2_000_000
+SLICE_PIECES = 1_000_000
 SLICE_TOKENS = 250_000
-DATABASE = {"threads": 1, "memory_limit": "200MB"}
+DATABASE = {"threads": 1, "memory_limit": "150MB"}
 #: Pieces of more bytes are contracted by LONG.
 SHORT_BYTES = 64
 #: Contractions in one query; a longer piece continues in the next.
-STEPS = 64
+STEPS = 16
 
 # The token rows of the last step of each piece, as a list in order of position.
 _RESULT = """
