@@ -110,3 +110,22 @@ def test_toxicity_of_held_out_documents(spark):
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.train(documents(spark), none) is None
+
+
+def test_spaced_letters_of_any_number_are_one_token(spark):
+    texts = ["a b c d word", "a  b c", "x a b c d, e", "a b c d1", "é b c d e.", "word a b c d",
+             "a " * 1_000_000]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.t for r in frame.select(toxicity.tokens(frame.text).alias("t")).collect()]
+    assert got == [["a b c d", "word"], ["a", "b", "c"], ["x a b c d", "e"], ["a", "b", "c", "d1"],
+                   ["é b c d e"], ["word", "a b c d"], [("a " * 1_000_000).strip()]]
+
+
+def test_spaced_letters_in_training_and_scoring(spark):
+    docs = spark.createDataFrame(
+        [(i, f"stupidhead idiotface {i}" if i % 2 else f"friendly people {i}") for i in range(80)]
+        + [(1001, "a " * 5000), (1002, "b " * 5000)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as toxic")
+    model = toxicity.train(docs, labels)
+    assert model is not None and max(map(len, model.landmarks)) <= toxicity.LONGEST
+    assert toxicity.score(docs, model).count() == 82

@@ -50,7 +50,10 @@ COVERS = 4
 NOTABLE = -0.5
 #: Tokens scored at a time: they bound a task's memory.
 CHUNK = 8192
-_TOKEN = (r"(?<!\S)(?:\p{L}[ ]+){3,}\p{L}(?![\p{L}\p{N}])"
+#: Longest token that serves as a landmark: the kernel's tables have its length squared.
+LONGEST = 64
+# The repeated group is possessive: Java matches it in a loop, a group it may give back by recursion.
+_TOKEN = (r"(?<!\S)\p{L}(?:[ ]++\p{L}(?![\p{L}\p{N}])){3,}+"
           r"|[\p{L}\p{N}](?:\S*[\p{L}\p{N}])?")
 
 
@@ -191,7 +194,7 @@ def choose_landmarks(toxic: list[list[str]], clean: list[list[str]]) -> list[str
         common = [s for s in common if not any(p in s for p in parts)]
     if not marks:
         return []
-    usual = Counter(w for text in clean for w in text if len(w) > ORDER)
+    usual = Counter(w for text in clean for w in text if ORDER < len(w) <= LONGEST)
     return marks + sorted(usual, key=lambda w: (-usual[w], w))[:CLEAN_LANDMARKS]
 
 
@@ -224,7 +227,7 @@ def fit(toxic: list[list[str]], clean: list[list[str]]) -> Model | None:
     features = raw @ white
     bags = [[np.array(sorted({number[w] for w in t})) for t in texts if t]
             for texts in (toxic, clean)]
-    own = len(marks) - CLEAN_LANDMARKS
+    own = max(1, len(marks) - CLEAN_LANDMARKS)
     value = (raw[:, :own] / np.diag(among)[:own]).max(axis=1)
     weights, bias = np.zeros(features.shape[1]), 0.0
     for _ in range(ROUNDS):
