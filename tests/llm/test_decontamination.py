@@ -73,3 +73,41 @@ def test_seeds_find_what_every_alignment_finds():
             if got:
                 seeds[item] = max(seeds.get(item, 0), got[2])
         assert seeds == brute(block, ids)
+
+
+def plain_matched(item, doc):
+    """Most equal words of a stretch of any alignment in which four in five words are equal."""
+    best = 0
+    for start in range(-len(item) + 1, len(doc)):
+        same = [0 <= start + i < len(doc) and doc[start + i] == w for i, w in enumerate(item)]
+        for i in range(len(item)):
+            equal = 0
+            for j in range(max(0, i, -start), min(len(item), len(doc) - start)):
+                equal += same[j]
+                if i + start >= 0 and 5 * equal >= 4 * (j + 1 - i):
+                    best = max(best, equal)
+    return best if 5 * best >= 4 * len(item) or best >= 12 else 0
+
+
+def test_every_item_with_four_in_five_words_is_found():
+    rng = random.Random(3)
+    for n in [*range(1, 31), 40, 60]:
+        for kind in range(6):
+            item = [f"w{i}" for i in range(n)]
+            gone = (range(4, n, 5) if kind == 0 else [2] if kind == 1 and n > 4
+                    else rng.sample(range(n), n // 5))
+            new = ["other" if i in set(gone) else w for i, w in enumerate(item)]
+            got = d.Block([(1, item)]).leaks(" ".join(["x", *new, "y"]))
+            assert [(i, m) for i, _, _, m in got] == [(1, n - len(set(gone)))], (n, kind)
+
+
+def test_leaks_are_those_of_a_plain_count():
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(40)]
+    for _ in range(60):
+        item = rng.choices(vocabulary, k=rng.randrange(1, 30))
+        low, high = sorted(rng.sample(range(len(item) + 1), 2))
+        part = [w if rng.random() > 0.22 else rng.choice(vocabulary) for w in item[low:high]]
+        doc = rng.choices(vocabulary, k=10) + part + rng.choices(vocabulary, k=10)
+        got = [r[3] for r in d.Block([(1, item)]).leaks(" ".join(doc))]
+        assert got == [m for m in [plain_matched(item, doc)] if m], (item, doc)

@@ -4,14 +4,15 @@ A text is its words (letters, digits and underscores, in lower case). A seed is
 neighbouring words; positions with 0 are ignored, so a replaced word there does not hide a hit.
 Seed hashes of the benchmark are joined with those of the training texts inside the tasks, against
 a block of the benchmark of ``BLOCK_TOKENS`` words at most; a larger benchmark takes several
-passes. Every hit gives an item and an alignment. The alignment is verified word by word: the best
-stretch, +1 for an equal word and -4 for another (so four in five words agree), must hold
-``MIN_MATCHES`` equal words, or all of a shorter item.
+passes. Every hit gives an item and an alignment. The alignment is verified word by word: a
+stretch in which at least four in five words are equal must hold ``MIN_MATCHES`` equal words, or
+four in five of a shorter item. The masks miss no such stretch: of the groups of five words that
+it is cut into, one has at most one word replaced.
 
 Hits of a text stay in its task, and one result per item and text leaves it.
 
 Defined results: null and empty texts, and items without words, match nothing; an item with fewer
-words than a mask is searched as a whole; a null id is kept; repeated rows of documents each give
+than four words is searched as a whole; a null id is kept; repeated rows of documents each give
 their links, a repeated item (equal id) is reported once by its best stretch; empty tables give
 an empty result.
 """
@@ -31,10 +32,11 @@ from tidegate.llm.common import id_and_text, ship
 
 ship(__name__)
 
-# Fixed masks: 5 of 7 and 6 of 9 words count.
-MASKS = ("1110101", "1101011", "110100111", "111001011")
+# Fixed masks: four of five words count, whichever they are.
+MASKS = ("1111", "11011", "10111", "11101")
 MIN_MATCHES = 12
-MISMATCH = -4
+#: Equal words of a stretch, in how many.
+AGREE = (4, 5)
 BLOCK_TOKENS = 500_000
 LEAK = "array<struct<item_id:bigint,start:bigint,tokens:bigint,matched:bigint>>"
 _WORD = re.compile(r"\w+")
@@ -63,6 +65,31 @@ def _seeds(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes
 
 
+def needed(length: int) -> int:
+    """Equal words that an item of so many words must have in a text."""
+    return min(MIN_MATCHES, -(-AGREE[0] * length // AGREE[1]))
+
+
+def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
+    """Begin, end and equal words of the stretch with the most equal words among all stretches in
+    which four in five words are equal. It begins and ends with an equal word; ties go to the
+    longer one, then to the first."""
+    equal = np.concatenate([[0], np.cumsum(same)])
+    gain = AGREE[1] * equal - AGREE[0] * np.arange(len(equal))
+    # For an end, the earliest begin with no higher gain is a new minimum; for that begin, only
+    # the last end with no lower gain counts. Edges that differ are cut off, the rest agrees more.
+    begin = np.flatnonzero(np.concatenate([[True], gain[1:] < np.minimum.accumulate(gain)[:-1]]))
+    later = np.maximum.accumulate(gain[::-1])
+    end = len(gain) - 1 - np.searchsorted(later, gain[begin])
+    at = np.flatnonzero(same)
+    if not len(at):
+        return 0, 0, 0
+    matched = equal[end] - equal[begin]
+    first, last = at[np.minimum(equal[begin], len(at) - 1)], at[equal[end] - 1] + 1
+    best = int(np.lexsort((begin, first - last, -matched))[0])
+    return int(first[best]), int(last[best]), int(matched[best])
+
+
 class Block:
     """Items with their words as numbers and a sorted table of seed hashes for each mask."""
 
@@ -102,13 +129,8 @@ class Block:
         """Start, words and equal words of the best stretch of an alignment."""
         own = self.items[item]
         low, high = max(0, -start), min(len(own), len(ids) - start)
-        same = own[low:high] == ids[start + low:start + high]
-        gain = np.concatenate([[0], np.cumsum(np.where(same, 1, MISMATCH))])
-        floor = np.minimum.accumulate(gain)
-        end = int(np.argmax(gain - floor))
-        begin = int(np.argmin(gain[:end + 1]))
-        matched = int(same[begin:end].sum())
-        if matched < min(MIN_MATCHES, len(own)):
+        begin, end, matched = best_stretch(own[low:high] == ids[start + low:start + high])
+        if matched < needed(len(own)):
             return None
         return start + low + begin, end - begin, matched
 
