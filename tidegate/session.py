@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +43,8 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call has used."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _GIVEN.append(path)
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
     return path
 
 
@@ -48,21 +54,58 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: The folders given out in the current :func:`scratch` block of a thread.
+_SCOPE = threading.local()
 #: Folders that :func:`fresh_dir` has given out and :func:`release` has not deleted.
 _GIVEN: list[str] = []
 #: Small frames without an input file that were pinned, by application and plan.
 _PINNED: dict[tuple[str, int], list[tuple[DataFrame, DataFrame]]] = {}
 
 
+#: Where the frames of :func:`stored` lie.
+_STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _GIVEN:
+        _GIVEN.remove(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete all that was stored so far. Frames that read it can no longer be computed."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _GIVEN:
-        place = spark._jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
-        place.getFileSystem(conf).delete(place, True)
+        delete_folder(spark, _GIVEN[-1])
     _PINNED.clear()
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what :func:`stored` wrote for these frames, once nothing reads them any more."""
+    for df in frames:
+        path = _STORED.pop(df, None)
+        if path:
+            delete_folder(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, *kept: str) -> Iterator[None]:
+    """Delete what was stored inside the block when it ends, but for folders whose names begin
+    with one of ``kept``. What others stored meanwhile in other threads is not touched."""
+    mine, outer = [], getattr(_SCOPE, "paths", None)
+    _SCOPE.paths = mine
+    try:
+        yield
+    finally:
+        _SCOPE.paths = outer
+        for path in mine:
+            if path.rsplit("/", 1)[-1].startswith(kept or ("//",)):
+                if outer is not None:
+                    outer.append(path)
+            elif path in _GIVEN:
+                delete_folder(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame of any size to the shared folder and read it back, column by column.
 
@@ -70,7 +113,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED[back] = path
+    return back
 
 
 def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
