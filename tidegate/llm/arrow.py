@@ -11,6 +11,10 @@ from tidegate.llm.common import ship
 
 ship(__name__)
 
+#: Bytes with A-Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
 
 def list_ends(lists: pa.ListArray) -> np.ndarray:
     """Where the rows of a list column begin in its flat values, and the end of the last."""
@@ -33,3 +37,43 @@ def distinct_words(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarr
     words = lists.flatten().dictionary_encode()
     return (words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False),
             list_ends(lists))
+
+
+def byte_offsets(texts: pa.LargeBinaryArray) -> np.ndarray:
+    """Where the texts of an array begin in its bytes, and the end of the last."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)
+    return offsets[texts.offset:texts.offset + len(texts) + 1]
+
+
+def flat_words(texts: pa.LargeBinaryArray, breaks: np.ndarray
+               ) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of texts without nulls, A-Z in lower case, and where those of each text begin.
+
+    A word is a longest run of bytes without one that ``breaks`` (256 flags) names.
+    """
+    offsets = byte_offsets(texts)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~breaks[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    at = np.flatnonzero(begins)
+    kept = LOWER[data[inside]]
+    place = np.append(np.cumsum(inside, dtype=np.int64)[at] - 1, len(kept))
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(place), pa.py_buffer(kept)])
+    return words, np.searchsorted(at, offsets)
+
+
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of runs that begin at ``starts``, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def breaks_of(*codes: int) -> np.ndarray:
+    flags = np.zeros(256, bool)
+    flags[list(codes)] = True
+    return flags

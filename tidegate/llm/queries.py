@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import (bpe, chat, decontamination, fingerprints, language, licences,
+from tidegate.llm import (bpe, chat, clustering, decontamination, fingerprints, language, licences,
                           line_dedup, sharding, simhash_dedup, toxicity)
 from tidegate.llm.common import table
 from tidegate.session import stored
@@ -210,7 +210,44 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its cluster of 16 after 3 rounds, and the inertia."""
+    rows = stored(clustering.scaled(table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+                                    64, 64), "vectors")
+    return clustering.with_inertia(clustering.cluster(rows, 64, clusters=16, rounds=3))
+
+
+def _assignment(number: int) -> str:
+    """SQL of one assignment and of the centroids that come from it."""
+    return f"""
+a{number} AS (SELECT id, any_value(v) AS v, min_by(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT id, x.v, c, list_sum(list_transform(list_zip(x.v, m.v),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM x, m{number} m) GROUP BY id),
+m{number + 1} AS (SELECT c, coalesce(n.v, m.v) AS v FROM m{number} m LEFT JOIN (
+  SELECT c, list(CAST(floor(CAST(s AS DECIMAL(38, 0)) / n) AS BIGINT) ORDER BY i) AS v
+  FROM (SELECT c, i, sum(e) AS s, count(*) AS n FROM (
+    SELECT c, unnest(v) AS e, generate_subscripts(v, 1) AS i FROM a{number}) GROUP BY c, i)
+  GROUP BY c) n USING (c)),"""
+
+
+OP11_SQL = f"""
+WITH kept AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0),
+x AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding,
+    lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM kept),
+m0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v
+  FROM x WHERE vec_id IS NOT NULL ORDER BY c LIMIT 16),
+{"".join(map(_assignment, range(3)))}
+{_assignment(3).split("m4 AS")[0].rstrip().rstrip(",")}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m3.v, ',')) AS centroid_sha256
+FROM a3 JOIN x USING (id) JOIN m3 USING (c)"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_toxicity, op3_language, op4_bpe, op5_licences, op6_fingerprints,
-    op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination)}
-ORACLES = {"op5_licences": OP5_SQL, "op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL}
+    op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination, op11_clustering)}
+ORACLES = {"op5_licences": OP5_SQL, "op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL,
+           "op11_clustering": OP11_SQL}
