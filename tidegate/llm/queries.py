@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import (bpe, chat, clustering, decontamination, fingerprints, language, licences,
-                          line_dedup, sharding, simhash_dedup, toxicity)
+                          line_dedup, search, sharding, simhash_dedup, toxicity)
 from tidegate.llm.common import table
 from tidegate.session import stored
 
@@ -246,8 +246,38 @@ SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
 FROM a3 JOIN x USING (id) JOIN m3 USING (c)"""
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    index = search.build(table(spark, sf_dir, "documents"))
+    return search.search(index, table(spark, sf_dir, "benchmark"), 20)
+
+
+OP12_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+dt AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, up, low), '{term}')) AS t
+  FROM documents, letters),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM dt GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM n),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // l AS m FROM n, total),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM df, total),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id,
+    unnest(regexp_extract_all(translate(text, up, low), '{term}')) AS t
+  FROM benchmark, letters) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT
+    AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s WHERE score > 0) WHERE rank <= 20""".replace(
+    "{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_toxicity, op3_language, op4_bpe, op5_licences, op6_fingerprints,
-    op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination, op11_clustering)}
+    op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination, op11_clustering,
+    op12_search)}
 ORACLES = {"op5_licences": OP5_SQL, "op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL,
-           "op11_clustering": OP11_SQL}
+           "op11_clustering": OP11_SQL, "op12_search": OP12_SQL}
