@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import (bpe, chat, clustering, decontamination, fingerprints, language, licences,
-                          line_dedup, search, sharding, simhash_dedup, toxicity)
+                          line_dedup, scoring, search, sharding, simhash_dedup, toxicity)
 from tidegate.llm.common import table
 from tidegate.session import stored
 
@@ -275,9 +275,17 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *,
     "{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
+def op13_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every text by the base model and the bigram model."""
+    scores, train = scoring.score(table(spark, sf_dir, "documents"),
+                                  scoring.held_out(F.col("doc_id")))
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known",
+                         F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_toxicity, op3_language, op4_bpe, op5_licences, op6_fingerprints,
     op7_line_dedup, op8_simhash_dedup, op9_chat, op10_decontamination, op11_clustering,
-    op12_search)}
+    op12_search, op13_scoring)}
 ORACLES = {"op5_licences": OP5_SQL, "op7_line_dedup": OP7_SQL, "op9_chat": OP9_SQL,
            "op11_clustering": OP11_SQL, "op12_search": OP12_SQL}
