@@ -5,11 +5,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from data import documents
 from pyspark.sql import functions as F
 
-from tidegate.llm import scoring
+from tidegate.llm import arrow, scoring
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -107,8 +108,6 @@ def test_probabilities_add_up():
 
 
 def test_packed_arrays_come_back():
-    import numpy as np
-
     arrays = [np.array(a, np.int64) for a in ([], [0], [255, 3], [256], [1 << 40, 0])]
-    assert [a.tolist() for a in scoring.unpack(scoring.pack(*arrays))] == [
+    assert [a.tolist() for a in arrow.unpack(arrow.pack(*arrays))] == [
         a.tolist() for a in arrays]

@@ -108,15 +108,16 @@ def test_strata_are_skipped():
     raw = pa.array([t.encode() for t in texts], pa.large_binary())
     n = sum(len(t.split()) for t in texts)
     row = search._slice_index(pa.array(range(len(texts))), raw, len(texts), n)
-    names = ["doc_ids", "terms", "m", "doc_ends", "term", "tf", "stratum", "posting_ends",
-             "postings"]
-    batch = pa.RecordBatch.from_arrays(row, names)
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_ids": [row[0].to_pylist()],
+         **{name: pa.array([x], pa.binary()) for name, x in
+            zip(("terms", "strata", "groups", "postings"), row[1:], strict=True)}})
     block = search.Block([(0, 0, search.item_terms("needle"))])
     block.weight[:] = 100
     best, seen = search.Best(1, 3), {}
     old, search.VISIT = search.VISIT, 10
     try:
-        search._visit(block, best, batch, 0, pa.array(block.terms, pa.binary()), seen)
+        search._visit(block, best, batch, 0, pa.array(block.terms, pa.large_binary()), seen)
     finally:
         search.VISIT = old
     assert best.doc.tolist() == [0, 1, 2]

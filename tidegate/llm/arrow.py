@@ -1,11 +1,13 @@
-"""Lists of words as flat numpy arrays, for tasks that score the distinct words of a batch."""
+"""Words and numbers of a batch as flat numpy arrays, and such arrays packed for an exchange."""
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 from tidegate.llm.common import ship
 
@@ -77,3 +79,40 @@ def breaks_of(*codes: int) -> np.ndarray:
     flags = np.zeros(256, bool)
     flags[list(codes)] = True
     return flags
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers from 0 in as few bytes as they need, compressed; bytes of equal
+    weight lie together."""
+    parts = []
+    for a in arrays:
+        a = np.asarray(a)
+        if a.dtype != np.uint8:
+            a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
+        planes = a.view(np.uint8).reshape(-1, a.itemsize).T
+        parts += [struct.pack("<BQ", a.itemsize, len(a)), planes.tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    while at < len(raw):
+        width, n = struct.unpack_from("<BQ", raw, at)
+        planes = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(n))
+        at += 9 + width * n
+    return out
+
+
+def word_arrays(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of words."""
+    offsets = byte_offsets(words)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    return offsets - offsets[0], data
+
+
+def binary_words(offsets: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """The words of :func:`word_arrays`."""
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1,
+        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])

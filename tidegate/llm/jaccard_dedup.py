@@ -1,36 +1,52 @@
 """Near-duplicates by the exact Jaccard similarity of word shingles.
 
 The set of a text is that of the hashes of its ``SHINGLE``-word runs (all words, if there are
-fewer). Texts whose sets have a Jaccard similarity of ``SIMILAR`` (4/5) or more are linked.
+fewer). Texts whose sets have a Jaccard similarity of ``SIMILAR`` (4/5) or more are linked, and one
+document of each group of links stays.
 
-Candidates come from prefixes, not from bits of a fingerprint: in one order of all shingles, two
-sets of n or more shingles in all that are so similar share one of the first
-n - ceil(4n/5) + 1 of each. No pair is missed, whichever order is taken; the order taken puts
-shingles that many texts hold last, by a table of ``SLOTS`` counts, so a common line makes no
-bucket. Every candidate is verified on the whole sets.
+Candidates come from prefixes, not from bits of a fingerprint. In one order of all shingles, two sets of
+n and m shingles that are so similar have a first shingle in common among the first n - ceil(4n/5) + 1 of
+one and m - ceil(4m/5) + 1 of the other, and from there on both must have 4/9 (n + m) left. No pair is
+missed, whichever order is taken. The order taken puts shingles that many texts hold last, by a table of
+``SLOTS`` counts: letters of one form that differ in more than the bound have their own shingles first,
+and where they meet too little is left, so they give no pair.
 
-A bucket (a shingle in the prefixes of several sets) is not compared pair by pair. For ``STARS``
-rounds its smallest set is compared with the others and then leaves it; a bucket whose sets are
-all of one component is done. What is left after that is compared pair by pair, but only across
-components, so a large group of near copies costs one comparison for each.
+Prefix entries of a slice of documents go packed to shards by shingle, where those that one set alone
+has are dropped; entries of shingles that are common by the table go on as they are, spread by set. A
+bucket (a shingle with several sets) is not compared pair by pair: for some rounds its first set is
+compared with the others and then leaves it, and a bucket whose sets are all of one component is done.
+Rounds go on while the pairs left are more than ``LINEAR`` for each entry, ``ROUNDS`` at most; what is
+left then is compared pair by pair across components. Every pair is verified on the whole sets,
+recomputed from the texts of candidates only.
 
 Defined results: null, empty and blank texts have the empty set and are copies of each other; equal
-sets (64-bit hashes) count as one.
+sets (64-bit hashes) count as one; of a group the row of the smallest id stays (null ids last), then
+that of the smallest text hash; of equal rows one; a text longer than a slice is a slice of its own; an
+empty table gives an empty result; further columns may have any name but must be orderable.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import body, ship
+from tidegate.llm.arrow import (
+    breaks_of,
+    byte_offsets,
+    flat_words,
+    pack,
+    row_slices,
+    unpack,
+)
+from tidegate.llm.common import body, ship, text_hash
 from tidegate.llm.components import components
-from tidegate.session import stored
+from tidegate.session import broadcast_if_small, discard, scratch, stored
 
 ship(__name__)
 
@@ -39,116 +55,260 @@ SIMILAR = (4, 5)
 SLOTS = 1 << 17
 #: Slots of the most texts whose counts set the order; all others come first.
 COMMON = 50_000
-STARS = 2
+#: Bytes of text in a slice and entries in a shard: memory of a task. Entries of a slot with more
+#: texts than HOT are spread by set.
+SLICE_BYTES = 4_000_000
+SHARD_ENTRIES = 1_500_000
+HOT = 100_000
+LINEAR = 4
+ROUNDS = 8
+BREAKS = breaks_of(0x20, *range(0x09, 0x0E))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_KEY = ["none", "oid", "a", "b"]
+NODES = "none boolean, oid long, a long, b long, node long, n int, slot int, k long"
+BLOCKS = "shard long, packed binary"
+ENTRIES = "token long, node long, n int, pos int"
 
 
-def shingles(text: str, length: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the runs of words of a text."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.int64)
-    number = {w: xxhash.xxh64_intdigest(w, 42) for w in set(words)}
-    ids = np.fromiter(map(number.get, words), np.uint64, len(words))
-    length = min(length, len(words))
+def _rolled(ids: np.ndarray, length: int) -> np.ndarray:
     n = len(ids) - length + 1
-    hashes = np.full(n, length, np.uint64)
-    for i in range(length):
+    hashes = np.full(max(n, 0) if length else 0, length, np.uint64)
+    for i in range(length if n > 0 else 0):
         hashes = (hashes ^ ids[i:i + n]) * _MIX
         hashes ^= hashes >> np.uint64(29)
-    return np.unique(hashes.view(np.int64))
+    return hashes
 
 
-def with_shingles(df: DataFrame, length: int = SHINGLE) -> DataFrame:
-    """Adds ``shingles``, their number ``n`` and ``node``, a hash of the set, to rows with a
-    ``text``."""
-    compute = F.pandas_udf(lambda texts: pd.Series([shingles(t, length) for t in texts]),
-                           "array<long>")
-    return (df.withColumn("shingles", compute(body()))
-            .withColumn("n", F.size("shingles")).withColumn("node", F.xxhash64("shingles")))
+def shingle_sets(texts: pa.LargeBinaryArray, length: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct hashes of the runs of words of each text."""
+    words, ends = flat_words(texts, BREAKS)
+    coded = words.dictionary_encode()
+    number = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in coded.dictionary.to_pylist()),
+                         np.uint64, len(coded.dictionary))
+    ids = number[coded.indices.to_numpy(zero_copy_only=False)]
+    whole = _rolled(ids, length)
+    return [np.unique(whole[low:high - length + 1]) if high - low >= length
+            else _rolled(ids[low:high], high - low)
+            for low, high in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-def _prefixes(shared, similar: tuple[int, int]):
-    def first(sets: pd.Series) -> pd.Series:
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    texts = batch.column("text").cast(pa.large_binary())
+    for row, stop in row_slices(byte_offsets(texts), SLICE_BYTES):
+        yield row, stop, shingle_sets(texts.slice(row, stop - row))
+
+
+def _node(one: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(one.tobytes(), 7)
+
+
+def _long(values) -> pa.Array:
+    return pa.array(np.asarray(values, np.uint64).view(np.int64))
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, hash and size of the set of every text; at last how many texts each slot has."""
+    held = np.zeros(SLOTS, np.int64)
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
+             pa.int64()]
+    names = [*_KEY, "node", "n", "slot", "k"]
+    for batch in batches:
+        for row, stop, sets in _texts(batch):
+            for one in sets:
+                np.add.at(held, (one & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).slice(row, stop - row) for c in _KEY],
+                 _long([_node(one) for one in sets]), pa.array([len(s) for s in sets], pa.int32()),
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())], names)
+    slots = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays(
+        [*[pa.nulls(len(slots), kind) for kind in kinds[:6]], pa.array(slots, pa.int32()),
+         pa.array(held[slots])], names)
+
+
+def prefix_length(n: int) -> int:
+    return n - -(-SIMILAR[0] * n // SIMILAR[1]) + 1
+
+
+def _entry_sender(shared, shards: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
-        out = []
-        for one in sets:
-            one = np.asarray(one, np.int64)
-            keep = len(one) - -(-similar[0] * len(one) // similar[1]) + 1
-            order = np.lexsort((one, common[one & (SLOTS - 1)])) if len(one) else one
-            out.append(one[order[:keep]])
-        return pd.Series(out)
-    return F.pandas_udf(first, "array<long>")
-
-
-def entries(rows: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """(token, node, n): the prefix of every set, where another set has the token as well."""
-    slot = F.col("shingle").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
+        for batch in batches:
+            for _, _, sets in _texts(batch):
+                by_node = {_node(one): one for one in sets if len(one)}
+                nodes = np.fromiter(by_node, np.uint64, len(by_node))
+                size = np.array([len(one) for one in by_node.values()], np.int64)
+                tokens = []
+                for one in by_node.values():
+                    order = np.lexsort((one, common[(one & np.uint64(SLOTS - 1)).astype(np.int64)]))
+                    tokens.append(one[order[:prefix_length(len(one))]])
+                if not tokens:
+                    continue
+                kept = np.array([len(t) for t in tokens])
+                token = np.concatenate(tokens)
+                of = np.repeat(np.arange(len(nodes)), kept)
+                pos = np.arange(len(of)) - np.repeat(np.cumsum(kept) - kept, kept)
+                hot = common[(token & np.uint64(SLOTS - 1)).astype(np.int64)] > HOT
+                shard = np.where(hot, shards + (nodes[of] % np.uint64(shards)).astype(np.int64),
+                                 (token % np.uint64(shards)).astype(np.int64))
+                order = np.lexsort((token, shard))
+                names, first = np.unique(shard[order], return_index=True)
+                for name, at in zip(names, np.split(order, first[1:]), strict=True):
+                    here, inverse = np.unique(of[at], return_inverse=True)
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array([name], pa.int64()),
+                        "packed": pa.array([pack(
+                            np.diff(token[at], prepend=np.uint64(0)), inverse, pos[at],
+                            nodes[here], size[here])], pa.binary())})
+    return send
+
+
+def _dropper(shards: int):
+    def shared_entries(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        """The entries of a shard without those whose shingle one set alone has."""
+        sent = [unpack(x) for x in rows.column("packed").to_pylist()]
+        token = np.concatenate([np.cumsum(s[0].astype(np.uint64)) for s in sent])
+        node = np.concatenate([s[3].astype(np.uint64)[s[1]] for s in sent])
+        n = np.concatenate([s[4].astype(np.int64)[s[1]] for s in sent])
+        pos = np.concatenate([s[2].astype(np.int64) for s in sent])
+        order = np.lexsort((node, token))
+        token, node, n, pos = token[order], node[order], n[order], pos[order]
+        new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
+        token, node, n, pos = token[new], node[new], n[new], pos[new]
+        if key[0].as_py() < shards:
+            _, which, count = np.unique(token, return_inverse=True, return_counts=True)
+            kept = count[which] > 1
+            token, node, n, pos = token[kept], node[kept], n[kept], pos[kept]
+        return pa.table({"token": _long(token), "node": _long(node), "n": pa.array(n, pa.int32()),
+                         "pos": pa.array(pos, pa.int32())})
+    return shared_entries
+
+
+def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The key of every row, its id and the hash of its text, beside the row and its text."""
+    text = body(F.col(f"`{text_col}`").cast("string"))
+    id_ = F.col(f"`{id_col}`").cast("long")
+    return df.select(id_.isNull().alias("none"), F.coalesce(id_, F.lit(0).cast("long")).alias("oid"),
+                     text_hash(text).alias("h"), text.cast("binary").alias("text"),
+                     F.struct("*").alias("row")).select("none", "oid", "h.a", "h.b", "text", "row")
+
+
+def entries(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The prefix entries of all sets where another set has the shingle as well."""
+    spark = texts.sparkSession
     common = np.zeros(SLOTS, np.int64)
-    for row in (rows.select(F.explode("shingles").alias("shingle")).select(slot)
-                .groupBy("slot").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("k"), "slot")
-                .limit(COMMON).collect()):
+    for row in (nodes.where("slot is not null").groupBy("slot").agg(F.sum("k").alias("k"))
+                .orderBy(F.desc("k"), "slot").limit(COMMON).collect()):
         common[row.slot] = row.k
-    shared = rows.sparkSession.sparkContext.broadcast(common)
-    return stored(rows.where("n > 0").select(
-        F.explode(_prefixes(shared, similar)("shingles")).alias("token"), "node", "n"),
-        "near-entries")
+    p, q = SIMILAR
+    total = nodes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * p / q) + 1)).first()[0] or 0
+    shards = -(-int(total) // SHARD_ENTRIES) or 1
+    return (texts.select("text").mapInArrow(
+        _entry_sender(spark.sparkContext.broadcast(common), shards), BLOCKS)
+        .groupBy("shard").applyInArrow(_dropper(shards), ENTRIES))
+
+
+def _fits(n, pos, m, qos):
+    """Whether sets of n and m that meet first at these places can be similar enough."""
+    p, q = SIMILAR
+    left = F.least(F.col(n) - F.col(pos), F.col(m) - F.col(qos))
+    return left * (p + q) >= (F.col(n) + F.col(m)) * p
+
 
+def open_buckets(live: DataFrame) -> DataFrame:
+    """Entries in buckets of several components that can be similar to a set of their bucket, with
+    the bucket's first set."""
+    p, q = SIMILAR
+    least = live.groupBy("token").agg(F.min("n").alias("least"))
+    able = live.join(least, "token").where(
+        (F.col("n") - F.col("pos")) * (p + q) >= (F.col("n") + F.col("least")) * p).drop("least")
+    several = (able.groupBy("token").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.min(F.struct("pos", "node", "n")).alias("centre")).where("low <> high")
+        .select("token", F.col("centre.node").alias("cnode"), F.col("centre.n").alias("cn"),
+                F.col("centre.pos").alias("cpos")))
+    return able.join(several, "token")
 
-def verified(pairs: DataFrame, rows: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    one = (rows.select("node", "pick").join(needed, "node", "left_semi")
-           .groupBy("node").agg(F.min("pick").alias("pick")).select("pick"))
-    sets = (rows.select("pick", "node", "shingles").join(stored(one, "near-picks"), "pick",
-                                                         "left_semi")
-            .select("node", "shingles"))
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
-    same = F.size(F.array_intersect("sa", "sb"))
-    return (both.where(same * sum(similar) >= similar[0] * (F.size("sa") + F.size("sb")))
-            .select("a", "b"))
 
+def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    p, q = SIMILAR
+    for batch in batches:
+        sides = []
+        for name in ("ta", "tb"):
+            coded = batch.column(name).cast(pa.large_binary()).dictionary_encode()
+            sets: list[np.ndarray] = []
+            for row, stop in row_slices(byte_offsets(coded.dictionary), SLICE_BYTES):
+                sets += shingle_sets(coded.dictionary.slice(row, stop - row))
+            sides.append((sets, coded.indices.to_pylist()))
+        (a, ia), (b, ib) = sides
+        same = np.array([len(np.intersect1d(a[i], b[j], assume_unique=True)) * (p + q)
+                         >= p * (len(a[i]) + len(b[j]))
+                         for i, j in zip(ia, ib, strict=True)], bool)
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(same)),
+                                          batch.column("b").filter(pa.array(same))], ["a", "b"])
 
-def _alike_in_size(similar: tuple[int, int], a: str, b: str):
-    return ((F.col(a) * similar[0] <= F.col(b) * similar[1])
-            & (F.col(b) * similar[0] <= F.col(a) * similar[1]))
 
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar; ``texts`` has a text of each node."""
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
+    return both.select("a", "b", "ta", "tb").mapInArrow(_verifier, "a long, b long")
 
-def groups(rows: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+
+def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """(u, v): every linked node that is not the smallest of its component, and that smallest.
 
-    ``rows`` are stored rows of :func:`with_shingles` with a unique ``pick``.
+    ``texts`` are rows of :func:`keyed`, ``nodes`` the stored rows of their sets.
     """
-    def open_buckets(live: DataFrame) -> DataFrame:
-        """Entries with their component, in buckets of several components."""
-        several = (live.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                             F.min("node").alias("centre"))
-                   .where("low <> high").select("token", "centre"))
-        return live.join(several, "token")
-
-    live = stored(open_buckets(entries(rows, similar).withColumn("comp", F.col("node"))),
-                  "near-live")
     found: list[DataFrame] = []
-    roots = None
-    for _ in range(STARS):
-        sizes = live.where("node = centre").select("token", F.col("n").alias("cn"))
-        pairs = (live.join(sizes.dropDuplicates(["token"]), "token")
-                 .where((F.col("node") != F.col("centre")) & _alike_in_size(similar, "n", "cn"))
-                 .select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct())
-        found.append(stored(verified(stored(pairs, "near-pairs"), rows, similar), "near-found"))
+    live = stored(open_buckets(entries(texts, nodes).withColumn("comp", F.col("node"))),
+                  "near-live")
+    one = nodes.where("slot is null").join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.min(F.struct(*_KEY)).alias("key")).select("node", "key.*")
+    # One text of each candidate: a narrow pass over the texts while the candidates are few.
+    held = stored(texts.select(*_KEY, "text").join(
+        broadcast_if_small(stored(one, "near-keys")), _KEY)
+        .groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    roots, rounds = None, 0
+    while not live.isEmpty():
+        size = live.groupBy("token").agg(F.count(F.lit(1)).alias("k")).agg(
+            F.sum("k").alias("n"), F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs")).first()
+        last = rounds >= ROUNDS or (rounds > 0 and size.pairs <= LINEAR * size.n)
+        if last:
+            a, b = (live.select("token", *[F.col(c).alias(c + side)
+                                           for c in ("node", "comp", "n", "pos")])
+                    for side in "ab")
+            pairs = a.join(b, "token").where(
+                (F.col("nodea") < F.col("nodeb")) & (F.col("compa") != F.col("compb"))
+                & _fits("na", "posa", "nb", "posb")).select(
+                    F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
+        else:
+            pairs = live.where((F.col("node") != F.col("cnode")) & _fits("n", "pos", "cn", "cpos")
+                               ).select(F.col("node").alias("a"), F.col("cnode").alias("b"))
+        pairs = stored(pairs.distinct(), "near-pairs")
+        found.append(stored(verified(pairs, held), "near-found"))
         roots = components(reduce(DataFrame.union, found))
-        rest = (live.where("node <> centre").drop("comp", "centre")
+        if last:
+            break
+        rest = (live.where("node <> cnode").drop("comp", "cnode", "cn", "cpos")
                 .join(roots.select(F.col("u").alias("node"), "v"), "node", "left")
                 .withColumn("comp", F.coalesce("v", "node")).drop("v"))
-        live = stored(open_buckets(rest), "near-live")
-    if not live.isEmpty():
-        a, b = (live.select("token", *[F.col(c).alias(c + side) for c in ("node", "comp", "n")])
-                .distinct() for side in "ab")
-        pairs = (a.join(b, "token").where((F.col("nodea") < F.col("nodeb"))
-                                          & (F.col("compa") != F.col("compb"))
-                                          & _alike_in_size(similar, "na", "nb"))
-                 .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
-        found.append(stored(verified(stored(pairs, "near-pairs"), rows, similar), "near-found"))
-        roots = components(reduce(DataFrame.union, found))
-    return roots
+        before, live = live, stored(open_buckets(rest), "near-live")
+        discard(before, pairs)
+        rounds += 1
+    return roots if roots is not None else live.select(F.col("node").alias("u"),
+                                                       F.col("node").alias("v"))
+
+
+def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, one for each group."""
+    rows = keyed(df, id_col, text_col)
+    with scratch(df.sparkSession, "near-first"):
+        nodes = stored(rows.select(*_KEY, "text").mapInArrow(_nodes, NODES), "near-nodes")
+        roots = groups(rows, nodes).select(F.col("u").alias("node"), "v")
+        first = stored(nodes.where("slot is null").select("node", *_KEY).join(roots, "node", "left")
+                       .groupBy(F.coalesce("v", "node").alias("root"))
+                       .agg(F.min(F.struct(*_KEY)).alias("first")).select("first.*"), "near-first")
+    # Equal rows meet by partial aggregation before they are dealt out.
+    return (rows.groupBy(*_KEY).agg(F.min("row").alias("row"))
+            .join(first, _KEY, "left_semi").select("row.*"))

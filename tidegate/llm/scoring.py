@@ -27,20 +27,27 @@ and all counts are 0.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import trie
-from tidegate.llm.arrow import breaks_of, byte_offsets, flat_words, row_slices
+from tidegate.llm.arrow import (
+    binary_words,
+    breaks_of,
+    byte_offsets,
+    flat_words,
+    pack,
+    row_slices,
+    unpack,
+    word_arrays,
+)
 from tidegate.llm.common import body, ship
 from tidegate.session import discard, stored
 
@@ -54,7 +61,7 @@ STEPS = 2000
 #: word are spread over all shards: memory of a task.
 SLICE_BYTES = 8_000_000
 SHARD_WORDS = 500_000
-SHARD_PAIRS = 1_500_000
+SHARD_PAIRS = 1_000_000
 HOT = 100_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -68,38 +75,6 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_scor
           "score double")
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers from 0 in as few bytes as they need, compressed."""
-    parts = []
-    for a in arrays:
-        a = np.asarray(a)
-        if a.dtype != np.uint8:
-            a = a.astype(np.min_scalar_type(int(a.max(initial=0))))
-        parts += [struct.pack("<BQ", a.itemsize, len(a)), a.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
-    while at < len(raw):
-        width, n = struct.unpack_from("<BQ", raw, at)
-        out.append(np.frombuffer(raw, f"<u{width}", n, at + 9))
-        at += 9 + width * n
-    return out
-
-
-def _words(offsets: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(offsets) - 1,
-        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
-
-
-def _word_arrays(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    offsets = byte_offsets(words)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-    return offsets - offsets[0], data
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
@@ -121,7 +96,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), _one(batch.column("doc_id").slice(row, stop - row)),
                  _one(pa.array(held[row:stop])), pa.array([pack(n, tokens)], pa.binary()),
-                 pa.array([pack(*_word_arrays(every), counts)], pa.binary()),
+                 pa.array([pack(*word_arrays(every), counts)], pa.binary()),
                  pa.array([len(every)]), pa.array([len(tokens)])],
                 ["slice", "doc_ids", "held", "tokens", "words", "n_words", "n_tokens"])
             number += 1
@@ -145,14 +120,14 @@ def _word_sender(shards: int):
             for slice_, packed in zip(batch.column("slice").to_pylist(),
                                       batch.column("words").to_pylist(), strict=True):
                 offsets, data, counts = unpack(packed)
-                words = _words(offsets, data)
+                words = binary_words(offsets, data)
                 shard = np.fromiter((xxhash.xxh64_intdigest(w) % shards
                                      for w in words.to_pylist()), np.int64, len(words))
                 for name, at in _by_shard(shard):
                     some = words.take(pa.array(at))
                     yield pa.RecordBatch.from_pydict({
                         "shard": pa.array([name], pa.int32()), "slice": pa.array([slice_]),
-                        "words": pa.array([pack(*_word_arrays(some), counts[at], at)],
+                        "words": pa.array([pack(*word_arrays(some), counts[at], at)],
                                           pa.binary())})
     return send
 
@@ -160,7 +135,7 @@ def _word_sender(shards: int):
 def _word_numberer(shards: int):
     def number(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         sent = [unpack(x) for x in rows.column("words").to_pylist()]
-        coded = pa.chunked_array([_words(o, d) for o, d, _, _ in sent]).combine_chunks()
+        coded = pa.chunked_array([binary_words(o, d) for o, d, _, _ in sent]).combine_chunks()
         coded = coded.dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
         train = np.zeros(len(coded.dictionary), np.int64)

@@ -31,7 +31,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.arrow import breaks_of, byte_offsets, flat_words, list_ends, row_slices, runs
+from tidegate.llm.arrow import (
+    binary_words,
+    breaks_of,
+    byte_offsets,
+    flat_words,
+    pack,
+    row_slices,
+    runs,
+    unpack,
+    word_arrays,
+)
 from tidegate.llm.common import body, ship
 from tidegate.session import stored
 
@@ -40,17 +50,17 @@ ship(__name__)
 #: All ASCII but letters and digits; other code points belong to terms.
 BREAKS = breaks_of(*(c for c in range(128) if not chr(c).isalnum()))
 #: Bytes of text in a slice; one longer text is a slice of its own.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_500_000
 BLOCK_ITEMS = 500
 BLOCK_TERMS = 200_000
 #: Postings looked at together, and documents x items scored together: memory of a task.
-VISIT = 1_000_000
+VISIT = 400_000
 #: Parts of an item's candidates in the first of the two last rounds.
 PARTS = 64
 NO_ID = (1 << 63) - 1
-INDEX = ("doc_ids array<long>, terms array<binary>, m array<long>, doc_ends array<int>, "
-         "term array<int>, tf array<int>, stratum array<int>, posting_ends array<int>, "
-         "postings array<int>")
+#: Packed: the terms of a slice; m and the end of each stratum's documents; term, tf, stratum and end
+#: of each group of postings; the postings, documents by their number in the slice.
+INDEX = "doc_ids array<long>, terms binary, strata binary, groups binary, postings binary"
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.LargeBinaryArray]]:
@@ -68,12 +78,6 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               "terms": [int(n.sum())]})
 
 
-def _ints(values: np.ndarray, kind=pa.int32()) -> pa.ListArray:
-    """One list."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()),
-                                    pa.array(values).cast(kind))
-
-
 def _slice_index(ids: pa.Array, texts: pa.LargeBinaryArray, docs: int, all_terms: int):
     """One row of the index."""
     words, ends = flat_words(texts, BREAKS)
@@ -100,12 +104,10 @@ def _slice_index(ids: pa.Array, texts: pa.LargeBinaryArray, docs: int, all_terms
     new = np.flatnonzero(np.diff(stratum, prepend=-1).astype(bool)
                          | np.diff(term, prepend=-1).astype(bool)
                          | np.diff(tf, prepend=-1).astype(bool))
-    numbers = ids.take(pa.array(held)).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-    terms = pa.ListArray.from_arrays(pa.array([0, size], pa.int32()),
-                                     coded.dictionary.cast(pa.binary()))
-    return [_ints(numbers, pa.int64()), terms, _ints(strata, pa.int64()), _ints(doc_ends),
-            _ints(term[new]), _ints(tf[new]), _ints(stratum[new]),
-            _ints(np.append(new[1:], len(doc))), _ints(doc)]
+    numbers = ids.take(pa.array(held)).fill_null(NO_ID)
+    return [numbers, pack(*word_arrays(coded.dictionary.cast(pa.large_binary()))),
+            pack(strata, doc_ends),
+            pack(term[new], tf[new], stratum[new], np.append(new[1:], len(doc))), pack(doc)]
 
 
 def _indexer(docs: int, all_terms: int):
@@ -113,10 +115,12 @@ def _indexer(docs: int, all_terms: int):
         for batch in batches:
             for ids, texts in _texts(batch):
                 row = _slice_index(ids, texts, docs, all_terms)
-                if len(row[0].values):
-                    yield pa.RecordBatch.from_arrays(row, [
-                        "doc_ids", "terms", "m", "doc_ends", "term", "tf", "stratum",
-                        "posting_ends", "postings"])
+                if len(row[0]):
+                    lists = pa.ListArray.from_arrays(pa.array([0, len(row[0])], pa.int32()),
+                                                     row[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [lists, *[pa.array([x], pa.binary()) for x in row[1:]]],
+                        ["doc_ids", "terms", "strata", "groups", "postings"])
     return index
 
 
@@ -176,24 +180,26 @@ def blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[Block]:
         yield Block(block)
 
 
-def _lists(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
-    return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
+def _lists(batch: pa.RecordBatch, name: str, row: int) -> list[np.ndarray]:
+    return [a.astype(np.int64) for a in unpack(batch.column(name)[row].as_py())]
 
 
 def _codes(batch: pa.RecordBatch, row: int, vocabulary: pa.Array) -> np.ndarray:
     """For each term of a row its number in the vocabulary, or -1."""
-    found = pc.index_in(batch.column("terms")[row].values, value_set=vocabulary)
-    return found.fill_null(-1).to_numpy(zero_copy_only=False)
+    words = binary_words(*unpack(batch.column("terms")[row].as_py()))
+    found = pc.index_in(words, value_set=vocabulary)
+    return found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _frequencies(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pa.array(shared.value, pa.binary())
+        vocabulary = pa.array(shared.value, pa.large_binary())
         df = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                code = _codes(batch, row, vocabulary)[_lists(batch, "term", row)]
-                size = np.diff(_lists(batch, "posting_ends", row), prepend=0)
+                term, _, _, ends = _lists(batch, "groups", row)
+                code = _codes(batch, row, vocabulary)[term]
+                size = np.diff(ends, prepend=0)
                 df += np.bincount(code[code >= 0], size[code >= 0],
                                   len(vocabulary)).astype(np.int64)
         known = np.flatnonzero(df)
@@ -205,7 +211,7 @@ def _frequencies(shared):
 def weights(index: Index, block: Block) -> np.ndarray:
     """floor(1000 ln((2 N + 2) / (2 df + 1))) of every term of a block, 0 where no text has it."""
     shared = index.rows.sparkSession.sparkContext.broadcast(block.terms)
-    found = (index.rows.select("terms", "term", "posting_ends")
+    found = (index.rows.select("terms", "groups")
              .mapInArrow(_frequencies(shared), "term long, df long")
              .groupBy("term").agg(F.sum("df").alias("df")).collect())
     weight = np.zeros(len(block.terms), np.int64)
@@ -240,16 +246,16 @@ class Best:
 def _visit(block: Block, best: Best, batch: pa.RecordBatch, row: int, vocabulary: pa.Array,
            seen: dict) -> None:
     """Score the strata of one row of the index that can hold one of the k best."""
-    code = _codes(batch, row, vocabulary)[_lists(batch, "term", row)].astype(np.int64)
+    term, tf, stratum, ends = _lists(batch, "groups", row)
+    code = _codes(batch, row, vocabulary)[term]
     asked = np.flatnonzero(code >= 0)
     asked = asked[block.weight[code[asked]] > 0]
     if not len(asked):
         return
-    code = code[asked]
-    tf, stratum = (_lists(batch, c, row)[asked].astype(np.int64) for c in ("tf", "stratum"))
-    m, doc_ends, doc_ids, postings = (_lists(batch, c, row) for c in (
-        "m", "doc_ends", "doc_ids", "postings"))
-    ends = _lists(batch, "posting_ends", row).astype(np.int64)
+    code, tf, stratum = code[asked], tf[asked], stratum[asked]
+    m, doc_ends = _lists(batch, "strata", row)
+    postings, = _lists(batch, "postings", row)
+    doc_ids = batch.column("doc_ids")[row].values.to_numpy(zero_copy_only=False)
     size = np.diff(ends, prepend=0)[asked]
     start = ends[asked] - size
     impact = block.weight[code] * ((1_000_000_000 * tf) // (1000 * tf + 12 * m[stratum]))
@@ -301,7 +307,7 @@ def _visit(block: Block, best: Best, batch: pa.RecordBatch, row: int, vocabulary
 def _searcher(shared, k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        vocabulary = pa.array(block.terms, pa.binary())
+        vocabulary = pa.array(block.terms, pa.large_binary())
         best, seen = Best(len(block.ids), k), {}
         for batch in batches:
             for row in range(batch.num_rows):
