@@ -1,5 +1,8 @@
 import hashlib
+import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -58,3 +61,41 @@ def test_any_text(spark, texts):
 
 def test_long_text_has_many_tokens():
     assert len(LIBRARY.encode_ordinary(LONG)) > 20_000
+
+
+def encode_all(pieces):
+    con, vocabulary = bpe._connect(RANKS), bpe.Vocabulary(RANKS)
+    flat, counts = bpe._encode_pieces(con, vocabulary, np.frombuffer(b"".join(pieces), np.uint8),
+                                      np.array([len(p) for p in pieces]))
+    return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+
+
+def test_long_pieces_of_few_letters():
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice(letters) for _ in range(rng.randrange(60, 400))).encode()
+              for letters in ["ab", "aeth", "=-", "etaoin shrdlu", "ing", "一二的人", " \t"]
+              for _ in range(60)]
+    pieces += [p.encode() for p in ("=" * 70, "=" * 1000, "-" * 130 + "=" * 130, "a" * 65)]
+    assert encode_all(pieces) == [LIBRARY._encode_single_piece(p) for p in pieces]
+
+
+@pytest.mark.parametrize("low, high, n", [(0x61, 0x7B, 1_000_000), (0x4E00, 0x9FA5, 350_000),
+                                          (0xE01, 0xE3A, 350_000), (0x61, 0x62, 1_000_000)])
+def test_a_megabyte_without_blanks(low, high, n):
+    """One piece; a query for each of its tokens would take minutes."""
+    rng = random.Random(4)
+    piece = "".join(chr(rng.randrange(low, high)) for _ in range(n)).encode()
+    began = time.process_time()
+    found = encode_all([piece])
+    assert time.process_time() - began < 60
+    assert found == [LIBRARY._encode_single_piece(piece)]
+
+
+def test_no_merge_crosses_a_cut():
+    vocabulary = bpe.Vocabulary(RANKS)
+    text = ("日本語テキスト the quick brown fox" * 3).encode()
+    cuts = {0, len(text), *vocabulary.cuts(np.frombuffer(text, np.uint8)).tolist()}
+    for low in range(len(text)):
+        for high in range(low + 2, min(len(text), low + 20) + 1):
+            if text[low:high] in RANKS:
+                assert not cuts & set(range(low + 1, high))

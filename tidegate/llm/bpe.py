@@ -3,10 +3,17 @@
 Encoding: Spark splits the text into pieces with the vocabulary's pattern. A task takes the
 distinct pieces of an Arrow batch and stores them as token-position rows, one per byte. A
 recursive query joins neighbouring tokens with the merge table, contracts the leftmost pair of
-minimum rank of every piece, and repeats until no piece has a pair left. Long pieces contract all
-places of their minimum pair at once, which gives the same tokens: a new pair never has a lower
-rank than the one it came from. Decoding joins token rows with the vocabulary and aggregates the
-bytes in token order.
+minimum rank of every piece, and repeats until no piece has a pair left. Decoding joins token rows
+with the vocabulary and aggregates the bytes in token order.
+
+A piece of over ``SHORT_BYTES`` bytes (a run of letters without blanks, most Chinese, Thai or Japanese
+text) would need as many steps as it has tokens, each over all its rows. It is cut first wherever no
+token of the vocabulary that lies in it reaches across, as no merge does. What is still long is cut
+into windows that overlap by half; distinct windows are contracted by the same query, all in one. Two
+neighbouring windows are joined at a token that both have in their overlap. That gives the ids of the
+whole: a list of tokens is the encoding of its bytes when every two neighbours are that of theirs, and
+each two neighbours come from one window. Windows without such a token are doubled until there is one,
+at last to the whole piece.
 
 The rank file is read by the driver (a vocabulary, under 2 MB) and broadcast.
 
@@ -35,11 +42,12 @@ ship(__name__)
 QUERY_PIECES = 20_000
 SLICE_PIECES = 2_000_000
 SLICE_TOKENS = 250_000
-DATABASE = {"threads": 1, "memory_limit": "150MB"}
-#: Pieces of more bytes are contracted by LONG.
+QUERY_BYTES = 300_000
+#: Without a folder for it a database does not spill: an executor's disk is not shared.
+DATABASE = {"threads": 1, "memory_limit": "150MB", "temp_directory": ""}
+#: Longer pieces are cut; the first length of a window.
 SHORT_BYTES = 64
-#: Contractions in one query; a longer piece continues in the next.
-STEPS = 16
+WINDOW = 32
 
 # The token rows of the last step of each piece, as a list in order of position.
 _RESULT = """
@@ -66,26 +74,6 @@ with recursive step as (
   from pairs join best using (word) where pos <> gone))
 {_RESULT}"""
 
-LONG = f"""
-with recursive step as (
- select 0 as step, word, pos, tok from pieces
- union all
- select * from ({_PAIRS},
-  best as (select word, min(merged) as code from pairs where merged is not null group by word),
-  hits as (select pairs.*, coalesce(merged = code, false) as hit,
-                  row_number() over (partition by pairs.word order by pos) as n
-           from pairs join best using (word) where step < {STEPS}),
-  stretches as (select *, n - row_number() over (partition by word, hit order by pos) as stretch
-                from hits),
-  chosen as (select *, hit and row_number() over (partition by word, hit, stretch
-                                                  order by pos) % 2 = 1 as taken
-             from stretches),
-  after as (select *, lag(taken, 1, false) over (partition by word order by pos) as gone
-            from chosen)
-  select step + 1, word, pos, case when taken then merged else tok end
-  from after where not gone))
-{_RESULT}"""
-
 DECODE = """
 select doc, array_to_string(list(bytes order by pos), '') as bytes
 from tokens left join vocabulary using (id) group by doc order by doc"""
@@ -128,7 +116,89 @@ def _contract(con, query: str, tokens: np.ndarray, lengths: np.ndarray):
             np.diff(lists.offsets.to_numpy()), found["step"].to_numpy())
 
 
-def _encode_pieces(con, first: np.ndarray, data: np.ndarray, lengths: np.ndarray):
+class Vocabulary:
+    """What a task needs of the ranks to cut long pieces."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.first = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        self.length = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        self.length[list(ranks.values())] = [len(t) for t in ranks]
+        flat = np.frombuffer(b"".join(t for t in ranks if len(t) > 1), np.uint8).astype(np.int64)
+        sizes = np.array([len(t) for t in ranks if len(t) > 1], np.int64)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))    # bytes to the end
+        two, three = np.flatnonzero(left[:-1] >= 2), np.flatnonzero(left[:-2] >= 3)
+        #: Two bytes that are a token, and three neighbouring bytes of any token.
+        self.pairs = np.zeros(1 << 16, bool)
+        whole = two[(np.append(True, left[:-1] == 1)[two]) & (left[two] == 2)]
+        self.pairs[flat[whole] << 8 | flat[whole + 1]] = True
+        self.triples = np.zeros(1 << 24, bool)
+        self.triples[flat[three] << 16 | flat[three + 1] << 8 | flat[three + 2]] = True
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Places in a piece that no token in it reaches across."""
+        b = data.astype(np.int64)
+        triple = self.triples[b[:-2] << 16 | b[1:-1] << 8 | b[2:]]
+        crossed = self.pairs[b[:-1] << 8 | b[1:]]
+        crossed[:-1] |= triple              # the triple that begins before the place
+        crossed[1:] |= triple               # and the one that ends behind it
+        return np.flatnonzero(~crossed) + 1
+
+
+def _encode_units(con, vocabulary: Vocabulary, units: list[bytes]) -> dict[bytes, np.ndarray]:
+    """Ids of distinct short byte strings."""
+    out: dict[bytes, np.ndarray] = {}
+    ends = np.cumsum([0, *map(len, units)])
+    for low, high in row_slices(ends, QUERY_BYTES):
+        data = np.frombuffer(b"".join(units[low:high]), np.uint8)
+        ids, n, _ = _contract(con, SHORT, vocabulary.first[data], np.diff(ends[low:high + 1]))
+        out.update(zip(units[low:high], np.split(ids, np.cumsum(n)[:-1]), strict=True))
+    return out
+
+
+def _windows(piece: bytes, size: int) -> list[bytes]:
+    step = size // 2
+    return [piece[at:at + size] for at in range(0, max(1, len(piece) - step), step)]
+
+
+def _joined(parts: list[np.ndarray], step: int, vocabulary: Vocabulary) -> np.ndarray | None:
+    """The ids of windows that begin every ``step`` bytes as one list, or None if two neighbours
+    have no token in common."""
+    out, after, last, last_ids = [], 0, None, None
+    for number, ids in enumerate(parts):
+        size = vocabulary.length[ids]
+        tokens = (number * step + np.cumsum(size) - size) << 20 | size
+        if last is not None:
+            both = np.intersect1d(last[after:], tokens, assume_unique=True)
+            if not len(both):
+                return None
+            middle = both[len(both) // 2]
+            out.append(last_ids[after:np.searchsorted(last, middle) + 1])
+            after = int(np.searchsorted(tokens, middle)) + 1
+        last, last_ids = tokens, ids
+    return np.concatenate([*out, last_ids[after:]])
+
+
+def _encode_long(con, vocabulary: Vocabulary, pieces_: list[bytes]) -> list[np.ndarray]:
+    """Ids of pieces of any length."""
+    parts = []
+    for piece in pieces_:
+        places = [0, *vocabulary.cuts(np.frombuffer(piece, np.uint8)).tolist(), len(piece)]
+        parts.append([piece[a:b] for a, b in zip(places, places[1:], strict=False)])
+    every = dict.fromkeys(p for some in parts for p in some)
+    known = _encode_units(con, vocabulary, [p for p in every if len(p) <= SHORT_BYTES])
+    open_, size = [p for p in every if len(p) > SHORT_BYTES], WINDOW
+    while open_:
+        units = dict.fromkeys(w for p in open_ for w in _windows(p, size))
+        ids = _encode_units(con, vocabulary, list(units))
+        for p in open_:
+            joined = _joined([ids[w] for w in _windows(p, size)], size // 2, vocabulary)
+            if joined is not None:
+                known[p] = joined
+        open_, size = [p for p in open_ if p not in known], 2 * size
+    return [np.concatenate([known[p] for p in some]) for some in parts]
+
+
+def _encode_pieces(con, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
     """Ids of pieces given as flat bytes: flat ids and their number per piece."""
     if not len(lengths):
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -137,18 +207,16 @@ def _encode_pieces(con, first: np.ndarray, data: np.ndarray, lengths: np.ndarray
     short = np.flatnonzero(lengths <= SHORT_BYTES)
     for i in range(0, len(short), QUERY_PIECES):
         some = short[i:i + QUERY_PIECES]
-        tokens = first[data[_flat(starts[some], lengths[some])]]
+        tokens = vocabulary.first[data[_flat(starts[some], lengths[some])]]
         ids, n, _ = _contract(con, SHORT, tokens, lengths[some])
         counts[some] = n
         parts[int(some[0])] = (some, ids)
     long = np.flatnonzero(lengths > SHORT_BYTES)
-    for at in long:
-        ids, step = first[data[starts[at]:starts[at] + lengths[at]]], STEPS
-        while step == STEPS:
-            ids, _, steps = _contract(con, LONG, ids, np.array([len(ids)]))
-            step = int(steps[0])
-        counts[at] = len(ids)
-        parts[int(at)] = (np.array([at]), ids)
+    if len(long):
+        found = _encode_long(con, vocabulary, [data[starts[i]:starts[i] + lengths[i]].tobytes()
+                                               for i in long])
+        counts[long] = [len(ids) for ids in found]
+        parts[-1] = (long, np.concatenate(found))
     flat, begin = np.empty(counts.sum(), np.int32), np.cumsum(counts) - counts
     for some, ids in parts.values():
         flat[_flat(begin[some], counts[some])] = ids
@@ -159,7 +227,7 @@ def _encoder(shared):
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         con = _connect(ranks)
-        first = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
+        vocabulary = Vocabulary(ranks)
         for batch in batches:
             every = batch.column("pieces")
             for top, bottom in row_slices(list_ends(every), SLICE_PIECES):
@@ -171,7 +239,7 @@ def _encoder(shared):
                     distinct.offset:distinct.offset + len(distinct) + 1]
                 data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)
                 data = data[offsets[0]:offsets[-1]] if len(distinct) else data[:0]
-                ids, counts = _encode_pieces(con, first, data, np.diff(offsets))
+                ids, counts = _encode_pieces(con, vocabulary, data, np.diff(offsets))
                 begin = np.cumsum(counts) - counts
                 index = words.indices.to_numpy(zero_copy_only=False)
                 total = np.concatenate([[0], np.cumsum(counts[index])])     # ids before a piece
