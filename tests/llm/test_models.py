@@ -129,3 +129,15 @@ def test_spaced_letters_in_training_and_scoring(spark):
     model = toxicity.train(docs, labels)
     assert model is not None and max(map(len, model.landmarks)) <= toxicity.LONGEST
     assert toxicity.score(docs, model).count() == 82
+
+
+def test_more_than_64_languages(spark):
+    """Each language has its own letters; none is lost beyond a machine word."""
+    rows = [(n * 10 + i, " ".join(f"{chr(0x4E00 + n)}{chr(0x4E00 + n)}{chr(97 + i)}"
+                                  for _ in range(8)), f"l{n:03}")
+            for n in range(70) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.labels) == 70
+    found = language.identify(docs, model).select("row.lang", "lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in found) > 0.9 * len(rows)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.arrow import list_ends, row_slices
-from tidegate.llm.common import body, ship
+from tidegate.llm.common import body, ship, trim
 
 ship(__name__)
 
@@ -251,6 +251,8 @@ def _encoder(shared):
                          pa.ListArray.from_arrays(pa.array(marks), pa.array(
                              ids[_flat(begin[here], counts[here])], pa.int32()))],
                         ["doc_id", "ids"])
+        con.close()
+        trim()
     return encode_batches
 
 
@@ -284,6 +286,8 @@ def _decoder(shared):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, stop - row), lists.slice(row, stop - row),
                      pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+        con.close()
+        trim()
     return decode_batches
 
 

@@ -44,7 +44,7 @@ from tidegate.llm.arrow import (
     row_slices,
     unpack,
 )
-from tidegate.llm.common import body, ship, text_hash
+from tidegate.llm.common import body, ship, text_hash, trim
 from tidegate.llm.components import components
 from tidegate.session import broadcast_if_small, discard, scratch, stored
 
@@ -60,7 +60,7 @@ COMMON = 50_000
 SLICE_BYTES = 4_000_000
 SHARD_ENTRIES = 1_500_000
 HOT = 100_000
-LINEAR = 4
+LINEAR = 30
 ROUNDS = 8
 BREAKS = breaks_of(0x20, *range(0x09, 0x0E))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -120,6 +120,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [*[batch.column(c).slice(row, stop - row) for c in _KEY],
                  _long([_node(one) for one in sets]), pa.array([len(s) for s in sets], pa.int32()),
                  pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())], names)
+    trim()
     slots = np.flatnonzero(held)
     yield pa.RecordBatch.from_arrays(
         [*[pa.nulls(len(slots), kind) for kind in kinds[:6]], pa.array(slots, pa.int32()),
@@ -160,6 +161,7 @@ def _entry_sender(shared, shards: int):
                         "packed": pa.array([pack(
                             np.diff(token[at], prepend=np.uint64(0)), inverse, pos[at],
                             nodes[here], size[here])], pa.binary())})
+        trim()
     return send
 
 
@@ -261,8 +263,9 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     ``texts`` are rows of :func:`keyed`, ``nodes`` the stored rows of their sets.
     """
     found: list[DataFrame] = []
-    live = stored(open_buckets(entries(texts, nodes).withColumn("comp", F.col("node"))),
-                  "near-live")
+    shared = stored(entries(texts, nodes).withColumn("comp", F.col("node")), "near-entries")
+    live = stored(open_buckets(shared), "near-live")
+    discard(shared)
     one = nodes.where("slot is null").join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct(*_KEY)).alias("key")).select("node", "key.*")
     # One text of each candidate: a narrow pass over the texts while the candidates are few.
@@ -271,8 +274,11 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         .groupBy("node").agg(F.min("text").alias("text")), "near-texts")
     roots, rounds = None, 0
     while not live.isEmpty():
-        size = live.groupBy("token").agg(F.count(F.lit(1)).alias("k")).agg(
-            F.sum("k").alias("n"), F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs")).first()
+        # Pairs of a bucket across components, before what the sizes and places rule out.
+        size = (live.groupBy("token", "comp").agg(F.count(F.lit(1)).cast("double").alias("k"))
+                .groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
+                .agg(F.sum("k").alias("n"), F.sum((F.col("k") * F.col("k") - F.col("s")) / 2)
+                     .alias("pairs")).first())
         last = rounds >= ROUNDS or (rounds > 0 and size.pairs <= LINEAR * size.n)
         if last:
             a, b = (live.select("token", *[F.col(c).alias(c + side)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegate.llm.arrow import distinct_words, list_ends, row_slices
-from tidegate.llm.common import body, ship
+from tidegate.llm.common import body, ship, trim
 
 ship(__name__)
 
@@ -40,7 +40,7 @@ BITS = 18
 ROUNDS = 30
 #: Words that a task looks up, computes probabilities for and hashes at a time. One text may
 #: have more. They bound its memory.
-BATCH_WORDS = 1_000_000
+BATCH_WORDS = 500_000
 SLICE_WORDS = 200_000
 CHUNK_WORDS = 20_000
 
@@ -59,7 +59,7 @@ def word_list(text: Column) -> Column:
 class Model:
     labels: list[str]
     grams: np.ndarray          # hashed n-gram, label
-    lexicon: dict[str, int]    # word: bits of the languages whose lexicon has it
+    lexicon: dict[str, list[int]]   # word: the languages whose lexicon has it
     known: np.ndarray          # language of the lexicon, label
     start: np.ndarray          # label
     moves: np.ndarray          # label before, label
@@ -97,9 +97,9 @@ def emissions(model: Model, words: list[str]) -> np.ndarray:
         some = words[i:i + CHUNK_WORDS]
         rows, begin = gram_rows(some)
         out[i:i + len(some)] = np.add.reduceat(model.grams[rows], begin, axis=0)
-        bits = np.fromiter((model.lexicon.get(w, 0) for w in some), np.int64, len(some))
-        for label in range(len(model.labels)):
-            out[i:i + len(some)] += ((bits >> label) & 1)[:, None] * model.known[label]
+        held = np.array([(at, label) for at, w in enumerate(some, i)
+                         for label in model.lexicon.get(w, ())], np.int64).reshape(-1, 2)
+        np.add.at(out, held[:, 0], model.known[held[:, 1]])
     return out
 
 
@@ -152,12 +152,12 @@ def fit(labels: list[str], texts: list[tuple[int, list[list[str]]]]) -> Model:
     per_label = [Counter() for _ in labels]
     for label, doc in texts:
         per_label[label].update({w for line in doc for w in line})
-    lexicon: dict[str, int] = {}
+    lexicon: dict[str, list[int]] = {}
     for label, counted in enumerate(per_label):
         top = sorted(counted.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]
         for word, n in top:
             if n > 1:
-                lexicon[word] = lexicon.get(word, 0) | 1 << label
+                lexicon.setdefault(word, []).append(label)
     model = Model(labels, np.zeros((1 << BITS, k), np.float32), lexicon,
                   np.zeros((k, k), np.float32), np.zeros(k), np.zeros((k, k)))
     rows = sequences(texts)
@@ -174,7 +174,9 @@ def fit(labels: list[str], texts: list[tuple[int, list[list[str]]]]) -> Model:
     np.add.at(seen_moves, (truth[np.flatnonzero(inner) - 1], truth[inner]), 1)
     grams, begin = gram_rows(words)
     sizes = np.diff(np.concatenate([begin, [len(grams)]]))
-    bits = np.array([[lexicon.get(w, 0) >> i & 1 for i in range(k)] for w in words], np.float32)
+    bits = np.zeros((len(words), k), np.float32)
+    for at, word in enumerate(words):
+        bits[at, lexicon.get(word, [])] = 1
     parts = [model.grams, model.known, model.start, model.moves]
     first = [np.zeros_like(p) for p in parts]
     second = [np.zeros_like(p) for p in parts]
@@ -246,6 +248,7 @@ def _labeller(shared):
         names = np.array([*model.labels, UNKNOWN], object)
         parts = [_label(model, lists.slice(row, stop - row))
                  for row, stop in row_slices(list_ends(lists), BATCH_WORDS)]
+        trim()
         best = np.concatenate([np.zeros(0, np.int64), *(b for b, _ in parts)])
         score = np.concatenate([np.zeros(0), *(s for _, s in parts)])
         return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)],
