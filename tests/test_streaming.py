@@ -270,3 +270,27 @@ def test_kafka_records_become_messages(spark):
     got = hub.from_kafka(records, "ns").orderBy("sequence_number").collect()
     assert [(r.eventhub, r.partition_id, r.sequence_number, r.offset, r.properties)
             for r in got] == [("hub-a", "3", 17, "17", {"k": "v"}), ("hub-a", "3", 19, "19", {})]
+
+
+def test_a_micro_batch_opens_only_its_own_folders(spark, tmp_path):
+    """What a micro-batch lists is one folder per target, however many came before."""
+    sink = TableSink(f"{tmp_path}/target", f"{tmp_path}/control", run_id="a b:c")
+    rows = prepare(frame(spark, parts(1, 6, ("aa", "bb"))[0]),
+                   mapping(spark, "aa").union(mapping(spark, "bb")))
+    for batch_id in range(12):
+        sink(rows, batch_id)
+        folders = sink._folders(spark, batch_id)
+        assert len(folders) == len({r.target_table for r in rows.select("target_table").collect()})
+        assert all(f.endswith(f"batch_id={batch_id}") for f in folders)
+        assert sink._mine(spark, batch_id).count() == rows.count()
+    assert sink._folders(spark, 99) == [] and sink._mine(spark, 99) is None
+
+
+def test_a_running_stream_leaves_no_intermediate_tables(spark, tmp_path):
+    from tidegate import session
+
+    before = len(session._GIVEN)
+    sized = SizedBatches(f"{tmp_path}/out", f"{tmp_path}/state", 7)
+    for batch_id, rows in enumerate(parts(3, 20)):
+        sized(frame(spark, rows), batch_id)
+    assert len(session._GIVEN) == before

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.functions.failure import signature
 from tidegate.functions.text import micros
 
 
@@ -131,3 +132,22 @@ def error_summary(errors: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("failures"),
         F.sum("message_count").alias("messages"),
         F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
+
+
+def health_errors(errors: DataFrame, most: int) -> DataFrame:
+    """The ``most`` frequent failures of each mapping and, with a NULL key, of the pipeline.
+
+    Failures are counted by signature before they are ranked, so what is ranked grows with the
+    number of different failures, not with the log; each comes with its newest text.
+    """
+    newest = F.struct("ts", "error")
+    signed = errors.withColumn(
+        "signature", signature(F.col("error_type"), F.col("error"))).groupBy("mapping_key", "signature").agg(
+        F.count(F.lit(1)).alias("failures"), F.max(newest).alias("newest"))
+    both = signed.unionByName(signed.groupBy("signature").agg(
+        F.sum("failures").alias("failures"), F.max("newest").alias("newest"))
+        .withColumn("mapping_key", F.lit(None).cast("string")))
+    order = Window.partitionBy("mapping_key").orderBy(F.desc("failures"), "signature")
+    return (both.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+            .select("mapping_key", "place", "signature", "failures",
+                    F.col("newest.ts").alias("last_at"), F.col("newest.error").alias("last_error")))

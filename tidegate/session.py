@@ -49,7 +49,16 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and store it reliably, so later jobs do not repeat its lineage."""
+    """Compute ``df`` once and store it reliably, so later jobs do not repeat its lineage.
+
+    In a :func:`scratch` block it is a table that goes with the block.
+    """
+    if getattr(_SCOPE, "paths", None) is not None:
+        return stored(df, "pinned")
+    return _checkpointed(df)
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -145,6 +154,6 @@ def small_side(df: DataFrame) -> DataFrame:
     for plan, side in known:
         if plan.columns == df.columns and plan.sameSemantics(df):
             return side
-    side = broadcast_if_small(pinned(df))
+    side = broadcast_if_small(_checkpointed(df))     # kept beyond any block
     known.append((df, side))
     return side

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,7 @@ from tidegate.operators.checkpoints import append_checkpoints, batch_checkpoints
 from tidegate.operators.envelope import to_landed
 from tidegate.operators.quality import checked
 from tidegate.operators.routing import HUB, TARGET
-from tidegate.session import small_side
+from tidegate.session import delete_folder, small_side
 
 #: Messages of one partition that stay together in one write task.
 LANE_ROWS = 500_000
@@ -140,27 +139,33 @@ class TableSink:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("target_table", "run_id", "batch_id").parquet(self.target))
 
+    def _folders(self, spark: SparkSession, batch_id: int) -> list[str]:
+        """The folders of a micro-batch, one for each target it wrote. The targets are listed, not
+        the batches in them: the cost does not grow with the age of the target."""
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.target)
+        files = root.getFileSystem(conf)
+        if not files.exists(root):
+            return []
+        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(
+            self.run_id)
+        places = [jvm.org.apache.hadoop.fs.Path(
+            entry.getPath(), f"run_id={escaped}/batch_id={batch_id}")
+            for entry in files.listStatus(root)
+            if entry.getPath().getName().startswith("target_table=")]
+        return [place.toString() for place in places if files.exists(place)]
+
     def _mine(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The micro-batch's own rows, of which only its folders are read; None if there never
-        was a row in the target."""
-        try:
-            stored = spark.read.schema(STORED).parquet(self.target)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return stored.where((F.col("run_id") == self.run_id) & (F.col("batch_id") == batch_id))
+        """The micro-batch's own rows; None if it has none."""
+        folders = self._folders(spark, batch_id)
+        if not folders:
+            return None
+        return spark.read.schema(STORED).option("basePath", self.target).parquet(*folders)
 
     def _clear(self, spark: SparkSession, batch_id: int) -> None:
         """Remove the folders that an earlier attempt at this micro-batch wrote."""
-        old = self._mine(spark, batch_id)
-        if old is None:
-            return
-        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for row in old.select(folder.alias("folder")).distinct().collect():   # one per target
-            place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
-            place.getFileSystem(conf).delete(place, True)
+        for folder in self._folders(spark, batch_id):
+            delete_folder(spark, folder)
 
     def _log_batches(self, landed: DataFrame, batch_id: int, started) -> None:
         (landed.groupBy("mapping_key", F.col("eventhub").alias("channel"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.text import micros
 from tidegate.operators.batching import (MAX_SIZE, MAX_WAIT_SECONDS, assign_batches,
                                          open_batches)
+from tidegate.session import scratch
 
 
 @dataclass
@@ -38,7 +39,8 @@ class SizedBatches:
         opening = self._opening(rows.sparkSession, batch_id)
         rows = rows.persist()       # the boundaries need several passes over the source
         try:
-            self._number(rows, batch_id, opening)
+            with scratch(rows.sparkSession):        # a stream runs on: nothing may pile up
+                self._number(rows, batch_id, opening)
         finally:
             rows.unpersist()
 
