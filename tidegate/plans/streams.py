@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidegate.plans.frames import MSGS, ROUTED
 from tidegate.session import fresh_dir
 from tidegate.sources import hub
 from tidegate.sources.tables import event_messages
-from tidegate.streaming import ingest
+from tidegate.streaming import fanout, ingest
 from tidegate.streaming.sized import SizedBatches
 from tidegate.streaming.sink import TableSink, read_rejected, read_target
 
@@ -64,6 +66,43 @@ def stream_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("sequence_number").alias("last_sequence")))
 
 
+def _refuse(key: str | None, batch_id: int, attempt: int) -> None:
+    """One target that is out of reach at first, and one that lets nobody in."""
+    if key and key.startswith("HUB_2->") and attempt == 1:
+        raise ConnectionError("connection reset by peer")
+    if key and key.startswith("HUB_4->"):
+        raise RuntimeError("401 unauthorized")
+
+
+def _fan_out(spark: SparkSession, sf_dir: str) -> str:
+    """A drained stream for all mappings with two failing targets, and one retry; its folder."""
+    folder = fresh_dir(spark, "fan-out")
+    sink = fanout.FanOutSink(f"{folder}/target", f"{folder}/control", f"{folder}/ledger",
+                             f"{folder}/parked", probe=_refuse)
+    ingest.start_ingest(_hub(spark, sf_dir, folder), frames.mapping(spark), sink,
+                        f"{folder}/progress", DRAIN).awaitTermination()
+    later = sink.now() + timedelta(hours=1)
+    sink.now = lambda: later
+    sink.retry(spark)
+    return folder
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landed of each mapping, all read from the stream once."""
+    landed = read_target(spark, f"{_fan_out(spark, sf_dir)}/target")
+    return landed.groupBy("mapping_key", "target_table").agg(
+        F.count(F.lit(1)).alias("landed"), F.countDistinct("row_id").alias("row_ids"))
+
+
+def stream_parked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger that the sink itself wrote: messages by mapping, attempt and what became of them."""
+    ledger = fanout.read_ledger(spark, f"{_fan_out(spark, sf_dir)}/ledger")
+    return (ledger.where("mapping_key is not null")
+            .groupBy("mapping_key", "attempt", "state", "category", "error")
+            .agg(F.sum("messages").alias("messages"),
+                 F.bool_and(F.col("due").isNotNull()).alias("will_retry")))
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed and kept back, by target and reasons; together they are all received.
 
@@ -102,10 +141,25 @@ def stream_sized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (stream_ingest, stream_checkpoints, stream_multi_target,
-                                   stream_quarantine,
+                                   stream_fan_out, stream_parked, stream_quarantine,
                                    stream_sized_batches)}
 
 ORACLES = {
+    "stream_fan_out": f"""WITH {ROUTED}
+SELECT mapping_key, target_table, count(*) AS landed, count(DISTINCT partition_id || '_' ||
+  sequence_number) AS row_ids
+FROM routed WHERE mapping_key NOT LIKE 'HUB_4->%' GROUP BY mapping_key, target_table""",
+    "stream_parked": f"""WITH {ROUTED},
+counts AS (SELECT split_part(mapping_key, '->', 1) AS hub_key, mapping_key, count(*) AS messages
+  FROM routed GROUP BY mapping_key)
+SELECT mapping_key, CAST(1 AS INTEGER) AS attempt,
+  CASE WHEN hub_key IN ('HUB_2', 'HUB_4') THEN 'parked' ELSE 'landed' END AS state,
+  CASE hub_key WHEN 'HUB_2' THEN 'network' WHEN 'HUB_4' THEN 'auth' END AS category,
+  CASE hub_key WHEN 'HUB_2' THEN 'connection reset by peer' WHEN 'HUB_4' THEN '401 unauthorized'
+    END AS error, messages, hub_key = 'HUB_2' AS will_retry
+FROM counts
+UNION ALL SELECT mapping_key, 2, 'landed', NULL, NULL, messages, false FROM counts
+WHERE hub_key = 'HUB_2'""",
     "stream_ingest": f"""WITH {ROUTED}
 SELECT target_table, mapping_key, eventhub, partition_id, sequence_number,
   partition_id || '_' || sequence_number AS row_id, "offset", enqueued_time,
