@@ -15,8 +15,8 @@ Prefix entries of a slice of documents go packed to shards by shingle, where tho
 has are dropped; entries of shingles that are common by the table go on as they are, spread by set. A
 bucket (a shingle with several sets) is not compared pair by pair: for some rounds its first set is
 compared with the others and then leaves it, and a bucket whose sets are all of one component is done.
-Rounds go on while the pairs left are more than ``LINEAR`` for each entry, ``ROUNDS`` at most; what is
-left then is compared pair by pair across components. Every pair is verified on the whole sets,
+Rounds go on while more pairs are left than ``LINEAR`` for each prefix entry of the
+corpus, ``ROUNDS`` at most; what is left then is compared pair by pair across components. Every pair is verified on the whole sets,
 recomputed from the texts of candidates only.
 
 Defined results: null, empty and blank texts have the empty set and are copies of each other; equal
@@ -60,7 +60,7 @@ COMMON = 50_000
 SLICE_BYTES = 4_000_000
 SHARD_ENTRIES = 1_500_000
 HOT = 100_000
-LINEAR = 30
+LINEAR = 5
 ROUNDS = 8
 BREAKS = breaks_of(0x20, *range(0x09, 0x0E))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -195,8 +195,9 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.struct("*").alias("row")).select("none", "oid", "h.a", "h.b", "text", "row")
 
 
-def entries(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The prefix entries of all sets where another set has the shingle as well."""
+def entries(texts: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """The prefix entries of all sets where another set has the shingle as well, and the number of
+    all prefix entries."""
     spark = texts.sparkSession
     common = np.zeros(SLOTS, np.int64)
     for row in (nodes.where("slot is not null").groupBy("slot").agg(F.sum("k").alias("k"))
@@ -207,7 +208,7 @@ def entries(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     shards = -(-int(total) // SHARD_ENTRIES) or 1
     return (texts.select("text").mapInArrow(
         _entry_sender(spark.sparkContext.broadcast(common), shards), BLOCKS)
-        .groupBy("shard").applyInArrow(_dropper(shards), ENTRIES))
+        .groupBy("shard").applyInArrow(_dropper(shards), ENTRIES)), int(total)
 
 
 def _fits(n, pos, m, qos):
@@ -263,7 +264,8 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     ``texts`` are rows of :func:`keyed`, ``nodes`` the stored rows of their sets.
     """
     found: list[DataFrame] = []
-    shared = stored(entries(texts, nodes).withColumn("comp", F.col("node")), "near-entries")
+    rows, total = entries(texts, nodes)
+    shared = stored(rows.withColumn("comp", F.col("node")), "near-entries")
     live = stored(open_buckets(shared), "near-live")
     discard(shared)
     one = nodes.where("slot is null").join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
@@ -275,11 +277,11 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     roots, rounds = None, 0
     while not live.isEmpty():
         # Pairs of a bucket across components, before what the sizes and places rule out.
+        k = F.col("k")
         size = (live.groupBy("token", "comp").agg(F.count(F.lit(1)).cast("double").alias("k"))
-                .groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("s"))
-                .agg(F.sum("k").alias("n"), F.sum((F.col("k") * F.col("k") - F.col("s")) / 2)
-                     .alias("pairs")).first())
-        last = rounds >= ROUNDS or (rounds > 0 and size.pairs <= LINEAR * size.n)
+                .groupBy("token").agg(F.sum(k).alias("k"), F.sum(k * k).alias("own"))
+                .agg(F.sum((k * k - F.col("own")) / 2).alias("pairs")).first())
+        last = rounds >= ROUNDS or (rounds > 0 and size.pairs <= LINEAR * total)
         if last:
             a, b = (live.select("token", *[F.col(c).alias(c + side)
                                            for c in ("node", "comp", "n", "pos")])
