@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def clean_text(value: Column | str) -> Column:
@@ -40,6 +41,33 @@ def clean_list_map(value: Column | str) -> Column:
     return _clean_entries(value, clean_list)
 
 
+def clean_nested(value: Column, kind: T.DataType) -> Column:
+    """Decode every binary or text inside maps, lists and structs of any depth.
+
+    The type says where they are, so the walk is over the type and the work one expression. Other
+    values and NULL stay as they are; keys that decode alike are one key, the last counts.
+    """
+    if isinstance(kind, (T.BinaryType, T.StringType)):
+        return clean_text(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: clean_nested(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[
+            clean_nested(value.getField(f.name), f.dataType).alias(f.name) for f in kind]))
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(
+            clean_nested(e["key"], kind.keyType).alias("key"),
+            clean_nested(e["value"], kind.valueType).alias("value")))
+        return last_per_key(entries)
+    return value
+
+
+def with_clean(df: DataFrame, *columns: str) -> DataFrame:
+    """These columns decoded at any depth, in their places."""
+    return df.withColumns({c: clean_nested(F.col(f"`{c}`"), df.schema[c].dataType)
+                           for c in columns or df.columns})
+
+
 def properties_json(value: Column | str, of_bytes: bool = False) -> Column:
     """JSON text of a property map; absent and empty maps both give NULL.
 
@@ -74,5 +102,10 @@ def utc(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
 
 
+def instant(value: Column | str) -> Column:
+    """The instant of a UTC time without zone; the inverse of :func:`utc`."""
+    return F.timestamp_micros(micros(value))
+
+
 def utc_now() -> Column:
     return utc(F.current_timestamp())

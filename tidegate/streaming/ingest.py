@@ -82,7 +82,8 @@ def stop_gracefully(query: StreamingQuery, seconds: float = 60) -> None:
 
 
 PROGRESS = """run_id STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT,
-    rows_per_second DOUBLE, received BIGINT, without_sequence BIGINT"""
+    rows_per_second DOUBLE, received BIGINT, without_sequence BIGINT,
+    late_rows BIGINT"""
 
 
 def _progress_row(p) -> tuple:
@@ -90,7 +91,8 @@ def _progress_row(p) -> tuple:
                  if name.startswith("messages_")), None)
     return (str(p["runId"]), int(p["batchId"]), str(p["timestamp"]), int(p["numInputRows"]),
             float(p["processedRowsPerSecond"] or 0.0), int(seen["received"]) if seen else None,
-            int(seen["without_sequence"]) if seen else None)
+            int(seen["without_sequence"]) if seen else None,
+            sum(int(op["numRowsDroppedByWatermark"]) for op in p["stateOperators"] or []))
 
 
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
