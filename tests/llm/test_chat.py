@@ -1,3 +1,5 @@
+import re
+
 from tidegate.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, span string, place long"
@@ -48,3 +50,14 @@ def test_one_conversation_over_many_stretches(spark):
     row = chat.read_back(chat.windows(turns(spark, rows), 200)).first()
     assert row.n_turns == 2000
     assert row.loss_chars == sum(len(r[3]) for r in rows if r[2] == "assistant")
+
+
+def test_turns_without_words_fill_windows_too(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", "") for i in range(3000)]
+    got = chat.windows(turns(spark, rows), 120, 2).collect()
+    assert len(got) > 300
+    for row in got:
+        assert row.tokens <= 120 and len(row.loss) <= 10
+        assert row.tokens == sum(len(re.findall(r"[a-z]+|[^\sa-z]", line))
+                                 for line in row.formatted.split("\n"))
+    assert sum(len(r.loss) for r in got) == 1500

@@ -2,10 +2,13 @@
 
 Prefix sums of turn tokens choose the spans: a turn belongs to the span in which its first token
 falls, spans being half the budget long. A window holds the conversation's system turn, the last
-turns before its span (at most ``history`` turns and a quarter of the budget), and the turns of
-its span, which are never cut. Only assistant turns of its own span are under the loss mask, so
-each is learned once; repeated turns are masked. A window is larger than the budget only where a
-single turn takes more than a quarter of it, and says so.
+turns before its span (at most ``history`` turns, and a quarter of the budget with the system
+turn), and the turns of its span, which are never cut. Only assistant turns of its own span are
+under the loss mask, so each is learned once; repeated turns are masked. A window is larger than
+the budget only where a single turn takes more than a quarter of it, and says so.
+
+Tokens are those of a turn as formatted, with role, marks and escapes. Every turn has six or more,
+so a window holds a bounded number of turns, even of empty ones.
 
 Template: ``<role>text</turn>`` and a line feed. ``&``, ``<`` and ``>`` inside roles and texts are
 escaped, so a mark of the template never stands in one; ``read_turns`` and ``read_loss`` undo it.
@@ -48,6 +51,14 @@ def unescaped(text: Column) -> Column:
     return text
 
 
+def _head() -> Column:
+    return F.concat(F.lit("<"), escaped(F.col("role")), F.lit(">"))
+
+
+def formatted_turn() -> Column:
+    return F.concat(_head(), escaped(F.col("text")), F.lit(_END))
+
+
 def numbered(df: DataFrame, conv_col: str, turn_col: str, role_col: str,
              text_col: str) -> DataFrame:
     """Turns with their place in the conversation and the tokens before them."""
@@ -57,7 +68,7 @@ def numbered(df: DataFrame, conv_col: str, turn_col: str, role_col: str,
         F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     ).withColumns({"stretch": F.floor(F.col("turn") / STRETCH),
-                   "tokens": F.regexp_count("text", F.lit(_TOKEN)).cast("long")})
+                   "tokens": F.regexp_count(formatted_turn(), F.lit(_TOKEN)).cast("long")})
     inside = Window.partitionBy("conv", "stretch").orderBy("turn", "role", "text").rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumns({"n": F.count(F.lit(1)).over(inside),
@@ -88,17 +99,18 @@ def windows(df: DataFrame, budget: int = BUDGET, history: int = HISTORY,
         spans.select("conv", "span"), "conv").select(
         "conv", "span", "place", "role", "text", "tokens", F.lit(0).alias("kind"))
     nearest = Window.partitionBy("conv", "span").orderBy(F.desc("place"))
-    past = (spans.select("conv", "span", F.explode(F.sequence(
+    fixed = turns.where("system").select("conv", F.col("tokens").alias("fixed"))
+    past = (spans.join(fixed, "conv", "left").select("conv", "span", "fixed", F.explode(F.sequence(
         F.greatest(F.lit(0).cast("long"), F.col("start") - history), F.col("start") - 1))
         .alias("place")).join(turns.where("not system").drop("span", "before"), ["conv", "place"])
-        .withColumn("sum", F.sum("tokens").over(nearest)).where(F.col("sum") <= budget // 4)
+        .withColumn("sum", F.sum("tokens").over(nearest) + F.coalesce("fixed", F.lit(0)))
+            .where(F.col("sum") <= budget // 4)
         .select("conv", "span", "place", "role", "text", "tokens", F.lit(1).alias("kind")))
     order = Window.partitionBy("conv", "span").orderBy("kind", "place").rowsBetween(
         Window.unboundedPreceding, -1)
-    head = F.concat(F.lit("<"), escaped(F.col("role")), F.lit(">"))
     rows = (own.union(systems).union(past)
-            .withColumns({"head": head, "inner": escaped(F.col("text"))})
-            .withColumn("piece", F.concat("head", "inner", F.lit(_END)))
+            .withColumns({"head": _head(), "inner": escaped(F.col("text")),
+                          "piece": formatted_turn()})
             .withColumn("at", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0)))
             .withColumn("target", F.when(
                 (F.col("kind") == 2) & (F.col("role") == "assistant"),

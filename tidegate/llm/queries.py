@@ -179,17 +179,19 @@ WITH turns AS (SELECT coalesce(conv_id, -9223372036854775808) AS conv_id, turn,
     coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
-counted AS (SELECT *, len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS tokens,
-    length(role) + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
-    - length(role) + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'))
-    + 10 AS chars FROM turns),
+pieces AS (SELECT *, '<' || replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+    || '>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+    || '</turn>' || chr(10) AS piece FROM turns),
+counted AS (SELECT *, len(regexp_extract_all(piece, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS tokens,
+    length(piece) AS chars FROM pieces),
 placed AS (SELECT *, row_number() OVER w - 1 AS place,
     coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 512
     AS span FROM counted WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 spans AS (SELECT conv_id, span, min(place) AS start FROM placed GROUP BY ALL HAVING start > 0),
-past AS (SELECT s.conv_id, p.chars, sum(p.tokens) OVER (PARTITION BY s.conv_id, s.span
-    ORDER BY p.place DESC) AS total
-  FROM spans s JOIN placed p ON p.conv_id = s.conv_id AND p.place < s.start
+past AS (SELECT s.conv_id, p.chars, coalesce(f.tokens, 0) + sum(p.tokens) OVER (
+    PARTITION BY s.conv_id, s.span ORDER BY p.place DESC) AS total
+  FROM spans s LEFT JOIN placed f ON f.conv_id = s.conv_id AND f.place = 0 AND f.role = 'system'
+    JOIN placed p ON p.conv_id = s.conv_id AND p.place < s.start
     AND p.place >= s.start - 4 AND NOT (p.place = 0 AND p.role = 'system')),
 chars AS (SELECT conv_id, sum(chars) AS n FROM (SELECT conv_id, chars FROM placed
   UNION ALL SELECT conv_id, chars FROM past WHERE total <= 256
