@@ -75,6 +75,39 @@ def test_links_keep_the_components_of_all_pairs(spark):
             assert same == (roots[a] == roots[b])
 
 
+def test_a_crowded_half_loses_no_link_and_gives_no_pairs(spark):
+    rng = random.Random(5)
+    half = rng.getrandbits(32)
+    fps = {half | (rng.getrandbits(9) << 32) for _ in range(400)}       # one lower half
+    fps |= {half ^ (1 << rng.randrange(32)) | (rng.getrandbits(9) << 32) for _ in range(40)}
+    fps |= {rng.getrandbits(64) for _ in range(60)}
+    signed = [f - (f >> 63 << 64) for f in fps]
+    found = simhash_dedup.links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    rows = [tuple(r) for r in found.collect()]
+    assert all(0 < bin((a ^ b) % (1 << 64)).count("1") <= 2 for a, b in rows)
+    assert len(rows) <= 65 * 2 * len(fps)
+    tops = {r.u: r.v for r in components(found).collect()}
+    roots = plain_components(fps)
+    for a in fps:
+        for b in fps:
+            x, y = a - (a >> 63 << 64), b - (b >> 63 << 64)
+            assert (tops.get(x, x) == tops.get(y, y)) == (roots[a] == roots[b])
+
+
+def test_fetched_links_are_all_pairs_within_the_radius(spark):
+    rng = random.Random(6)
+    fps = set()
+    for _ in range(20):
+        at = rng.getrandbits(64)
+        fps |= {at ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4)))
+                for _ in range(8)}
+    signed = [(f - (f >> 63 << 64),) for f in fps]
+    got = {frozenset((r.a % (1 << 64), r.b % (1 << 64))) for r in
+           simhash_dedup.links(spark.createDataFrame(signed, "fp long")).collect()}
+    assert got == {frozenset((a, b)) for a in fps for b in fps
+                   if a != b and bin(a ^ b).count("1") <= 2}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
