@@ -107,7 +107,8 @@ def links(fps: DataFrame) -> DataFrame:
     Those of crowded buckets are stars, not all pairs: the components are those of all pairs.
     """
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fps = fps.select("fp").distinct().repartition(parts, "fp")     # one row becomes some 35
+    # One row becomes some 35. Dealt by fp again, the exchange would be merged into that of distinct.
+    fps = fps.select("fp").distinct().repartition(parts)
     index = fps.select(F.explode(_keys(ball=False)).alias("key"), "fp")
     probes = (fps.select(F.explode(_keys(ball=True)).alias("key"), "fp")
               .where("key is not null"))
