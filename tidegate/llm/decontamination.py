@@ -18,7 +18,7 @@ Equal texts are searched once and equal items once. A text is read again only if
 Defined results: null and empty texts, and items without words, match nothing; an item with fewer
 than four words is searched as a whole; a null id is kept; repeated rows of documents each give
 their links, a repeated item (equal id) is reported once by its best stretch; ties go to the first
-place; a very long text is hashed in a slice of its own; other columns of the input are not
+place; a very long text is hashed as one slice; other columns of the input are not
 looked at, whatever their names; empty tables give an empty result.
 """
 
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import id_and_text, ship, text_hash
+from tidegate.llm.common import id_and_text, ship, text_hash, trim
 from tidegate.session import broadcast_if_small, scratch, stored
 
 ship(__name__)
@@ -50,8 +50,8 @@ AGREE = (4, 5)
 HOT_SEED = 2_000
 #: Binary logarithm of the bits of the filter, at least and at most.
 FILTER_BITS = (16, 26)
-SLICE_WORDS = 1_000_000
-KNOWN_WORDS = 200_000
+SLICE_WORDS = 200_000
+KNOWN_WORDS = 100_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 SEED_ROWS = "a long, b long, h long, at array<int>"
@@ -94,15 +94,15 @@ def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return first
 
 
-def _slices(texts: list[list[str]]) -> Iterator[tuple[int, int]]:
-    begin = size = 0
+def _slices(texts: pd.Series) -> Iterator[tuple[int, list[list[str]]]]:
+    """First place and words of runs of texts, so that a task holds the words of one run only."""
+    begin, size, run = 0, 0, []
     for i, text in enumerate(texts):
-        if i > begin and size + len(text) > SLICE_WORDS:
-            yield begin, i
-            begin, size = i, 0
-        size += len(text)
-    if texts:
-        yield begin, len(texts)
+        run.append(words(text))
+        size += len(run[-1])
+        if size >= SLICE_WORDS or i + 1 == len(texts):
+            yield begin, run
+            begin, size, run = i + 1, 0, []
 
 
 def _positions(texts: list[list[str]], masks: tuple[str, ...], hashes: _Hashes, bits,
@@ -137,13 +137,13 @@ def _seed_rows(masks: tuple[str, ...], shared=None):
         hashes = _Hashes()
         bits = shared.value if shared else None
         for frame in frames:
-            texts = [words(t) for t in frame["text"]]
-            for begin, end in _slices(texts):
-                text, seed, at = _positions(texts[begin:end], masks, hashes, bits, not shared)
+            for begin, texts in _slices(frame["text"]):
+                text, seed, at = _positions(texts, masks, hashes, bits, not shared)
                 if len(at):
                     yield pd.DataFrame({"a": frame["a"].to_numpy()[begin + text],
                                         "b": frame["b"].to_numpy()[begin + text],
                                         "h": seed.view(np.int64), "at": at})
+            trim()
     return rows
 
 
