@@ -32,15 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.arrow import list_ends, row_slices
+from tidegate.llm.arrow import binary_words, list_ends, row_slices, word_arrays
 from tidegate.llm.common import body, ship, trim
 
 ship(__name__)
 
-#: Distinct pieces in one query, pieces and tokens in one slice of a batch, and the memory of a
-#: database: they bound the memory of a task. One text may have more of either.
+#: Distinct parts of pieces in one query, bytes of short pieces cut at once, pieces and tokens in one slice
+#: of a batch, and the memory of a database: they bound the memory of a task. One text may have more.
 QUERY_PIECES = 20_000
-SLICE_PIECES = 2_000_000
+SLICE_BYTES = 4_000_000
+SLICE_PIECES = 4_000_000
 SLICE_TOKENS = 250_000
 QUERY_BYTES = 300_000
 #: Without a folder for it a database does not spill: an executor's disk is not shared.
@@ -55,23 +56,31 @@ select word, any_value(last) as step, list(tok order by pos) as toks
 from step join (select word, max(step) as last from step group by word) using (word)
 where step = last group by word order by word"""
 
-_PAIRS = """
-  with next as (select *, lead(tok) over w as right_tok, lead(pos) over w as right_pos
-                from step window w as (partition by word order by pos)),
-  pairs as (select next.*, merged
-            from next left join merges on left_id = tok and right_id = right_tok)"""
-
+# A token row knows the token to its right and the code of the two: the id they merge into and the place,
+# so that the least code of a piece is its leftmost pair of minimum rank. Only the merged row and the
+# row before it get a new code.
 SHORT = f"""
 with recursive step as (
- select 0 as step, word, pos, tok from pieces
+ select 0 as step, word, pos, tok, right_tok, right_pos, (merged::bigint << 32) | pos as code
+ from pieces left join merges on left_id = tok and right_id = right_tok
  union all
- select * from ({_PAIRS},
-  best as (select word, min(merged::bigint << 32 | pos) as code,
-                  arg_min(right_pos, merged::bigint << 32 | pos) as gone
-           from pairs where merged is not null group by word)
-  select step + 1, pairs.word, pos,
-         case when merged is not null and pos = (code & 4294967295) then merged else tok end
-  from pairs join best using (word) where pos <> gone))
+ select step + 1, word, pos, now.tok, now.right_tok, now.right_pos,
+        case when moved then (merged::bigint << 32) | pos else now.code end
+ from (select step, s.word, s.pos, s.code,
+              s.pos = place or s.right_pos = place as moved,
+              case when s.pos = place then made else s.tok end as tok,
+              case when s.pos = place then best.right_tok when s.right_pos = place then made
+                   else s.right_tok end as right_tok,
+              case when s.pos = place then best.right_pos else s.right_pos end as right_pos
+       from step s join (
+         select b.word, (least_code >> 32)::int as made, (least_code & 4294967295)::int as place,
+                gone,
+                r.right_tok, r.right_pos
+         from (select word, min(code) as least_code, arg_min(right_pos, code) as gone
+               from step where code is not null group by word) b
+         join step r on r.word = b.word and r.pos = b.gone) best
+       on s.word = best.word and s.pos <> gone) now
+ left join merges on moved and left_id = now.tok and right_id = now.right_tok)
 {_RESULT}"""
 
 DECODE = """
@@ -107,7 +116,12 @@ def _contract(con, query: str, tokens: np.ndarray, lengths: np.ndarray):
     """The tokens of each piece after all its contractions, flat, and their number per piece."""
     word = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     pos = _flat(np.zeros(len(lengths), np.int64), lengths).astype(np.int32)
-    con.register("pieces", pa.table({"word": word, "pos": pos, "tok": tokens.astype(np.int32)}))
+    tokens = tokens.astype(np.int32)
+    right_tok, right_pos = np.append(tokens[1:], tokens[:1]), pos + np.int32(1)
+    last = np.cumsum(lengths)[lengths > 0] - 1
+    right_tok[last] = right_pos[last] = -1
+    con.register("pieces", pa.table({"word": word, "pos": pos, "tok": tokens,
+                                     "right_tok": right_tok, "right_pos": right_pos}))
     found = con.execute(query).to_arrow_table().combine_chunks()
     con.unregister("pieces")
     lists = found["toks"].combine_chunks()
@@ -134,11 +148,17 @@ class Vocabulary:
         self.triples = np.zeros(1 << 24, bool)
         self.triples[flat[three] << 16 | flat[three + 1] << 8 | flat[three + 2]] = True
 
-    def cuts(self, data: np.ndarray) -> np.ndarray:
-        """Places in a piece that no token in it reaches across."""
-        b = data.astype(np.int64)
+    def cuts(self, data: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+        """Places in a piece, or in and between several of these lengths, that no token reaches across."""
+        b = data.astype(np.int32)
         triple = self.triples[b[:-2] << 16 | b[1:-1] << 8 | b[2:]]
         crossed = self.pairs[b[:-1] << 8 | b[1:]]
+        if lengths is not None:
+            ends = np.cumsum(lengths)
+            ends = ends[(ends > 0) & (ends < len(data))]
+            crossed[ends - 1] = False
+            for at in (ends - 2, ends - 1):
+                triple[at[(at >= 0) & (at < len(triple))]] = False
         crossed[:-1] |= triple              # the triple that begins before the place
         crossed[1:] |= triple               # and the one that ends behind it
         return np.flatnonzero(~crossed) + 1
@@ -198,6 +218,25 @@ def _encode_long(con, vocabulary: Vocabulary, pieces_: list[bytes]) -> list[np.n
     return [np.concatenate([known[p] for p in some]) for some in parts]
 
 
+def _encode_short(con, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
+    """Flat ids and their number per piece. Pieces are cut as long ones are, and a part that several
+    of them have is contracted once."""
+    starts = np.append(0, vocabulary.cuts(data, lengths))
+    every = binary_words(np.append(starts, len(data)), data).dictionary_encode()
+    offsets, units = word_arrays(every.dictionary)
+    found = []
+    for i in range(0, len(offsets) - 1, QUERY_PIECES):
+        here = offsets[i:i + QUERY_PIECES + 1]
+        found.append(_contract(con, SHORT, vocabulary.first[units[here[0]:here[-1]]],
+                               np.diff(here))[:2])
+    ids, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+    index = every.indices.to_numpy(zero_copy_only=False)
+    begin = np.cumsum(counts) - counts
+    before = np.append(0, np.cumsum(counts[index]))
+    firsts = np.searchsorted(starts, np.append(0, np.cumsum(lengths)))
+    return ids[_flat(begin[index], counts[index])], np.diff(before[firsts])
+
+
 def _encode_pieces(con, vocabulary: Vocabulary, data: np.ndarray, lengths: np.ndarray):
     """Ids of pieces given as flat bytes: flat ids and their number per piece."""
     if not len(lengths):
@@ -205,11 +244,10 @@ def _encode_pieces(con, vocabulary: Vocabulary, data: np.ndarray, lengths: np.nd
     starts = np.cumsum(lengths) - lengths
     counts, parts = np.zeros(len(lengths), np.int64), {}
     short = np.flatnonzero(lengths <= SHORT_BYTES)
-    for i in range(0, len(short), QUERY_PIECES):
-        some = short[i:i + QUERY_PIECES]
-        tokens = vocabulary.first[data[_flat(starts[some], lengths[some])]]
-        ids, n, _ = _contract(con, SHORT, tokens, lengths[some])
-        counts[some] = n
+    for low, high in row_slices(np.append(0, np.cumsum(lengths[short])), SLICE_BYTES):
+        some = short[low:high]
+        ids, counts[some] = _encode_short(con, vocabulary,
+                                          data[_flat(starts[some], lengths[some])], lengths[some])
         parts[int(some[0])] = (some, ids)
     long = np.flatnonzero(lengths > SHORT_BYTES)
     if len(long):
