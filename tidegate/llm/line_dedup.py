@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegate.llm.common import body, id_and_text
+from tidegate.llm.sieve import split
 from tidegate.session import stored
 
 MIN_WORDS = 50
@@ -152,13 +153,19 @@ def without_deleted(df: DataFrame, gone: DataFrame, text_col: str = "text") -> D
     lines = F.transform(F.split("body", "\n"),
                         lambda line, n: F.struct(n.alias("n"), line.alias("line")))
     kept = F.array_join(F.filter(lines, lambda x: ~F.array_contains("gone", x["n"]))["line"], "\n")
-    return (df.select(F.struct("*").alias("row"), text.alias("body"))
-            .withColumns({"oid": id_, "th": F.xxhash64("body")})
-            .join(gone, _DOC, "left").withColumn("gone", F.coalesce("gone", none))
-            .select("row", F.when(F.size("gone") == 0, F.col("body"))
-                    .when(kept.rlike(_WORD), kept).otherwise("").alias("kept"),
-                    F.size(F.split("body", "\n")).alias("n_lines"),
-                    F.size("gone").alias("n_deleted")))
+    rows = (df.select(F.struct("*").alias("row"), text.alias("body"))
+            .withColumns({"oid": id_, "th": F.xxhash64("body")}))
+    key = F.xxhash64(*_DOC)
+    # Texts that lose no line, most of them, are not exchanged.
+    some, whole = split(rows, key, gone.select(key.alias("key")))
+    cut = (some.join(gone, _DOC, "left").withColumn("gone", F.coalesce("gone", none))
+           .select("row", F.when(F.size("gone") == 0, F.col("body"))
+                   .when(kept.rlike(_WORD), kept).otherwise("").alias("kept"),
+                   F.size(F.split("body", "\n")).alias("n_lines"),
+                   F.size("gone").alias("n_deleted")))
+    return cut.union(whole.select("row", F.col("body").alias("kept"),
+                                  F.size(F.split("body", "\n")).alias("n_lines"),
+                                  F.lit(0).alias("n_deleted")))
 
 
 def deduplicated(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
