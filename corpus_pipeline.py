@@ -51,9 +51,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that of the smallest id.
 
-    Near-duplicates have 80 % or more of their five-word shingles in common (Jaccard).
+    Near-duplicates have 80 % or more of their five-word shingles in common (Jaccard). Candidates come from
+    op8's method, SimHash fingerprints linked by multi-index hashing, and are checked on the whole texts;
+    what no radius of fingerprints is sure to find is then searched exactly.
     """
-    return jaccard_dedup.first_of_groups(docs)
+    return jaccard_dedup.first_of_groups(docs, fingerprints=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,8 +40,8 @@ ship(__name__)
 #: Distinct parts of pieces in one query, bytes of short pieces cut at once, pieces and tokens in one slice
 #: of a batch, and the memory of a database: they bound the memory of a task. One text may have more.
 QUERY_PIECES = 20_000
-SLICE_BYTES = 4_000_000
-SLICE_PIECES = 4_000_000
+SLICE_BYTES = 2_000_000
+SLICE_PIECES = 3_000_000
 SLICE_TOKENS = 250_000
 QUERY_BYTES = 300_000
 #: Without a folder for it a database does not spill: an executor's disk is not shared.

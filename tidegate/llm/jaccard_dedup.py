@@ -1,4 +1,4 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles.
+"""Near-duplicates by the exact Jaccard similarity of word shingles, from fingerprints on if asked for.
 
 The set of a text is that of the hashes of its ``SHINGLE``-word runs (all words, if there are
 fewer). Texts whose sets have a Jaccard similarity of ``SIMILAR`` (4/5) or more are linked, and one
@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm import simhash_dedup
 from tidegate.llm.arrow import (
     breaks_of,
     byte_offsets,
@@ -44,8 +45,9 @@ from tidegate.llm.arrow import (
     row_slices,
     unpack,
 )
-from tidegate.llm.common import body, ship, text_hash, trim
+from tidegate.llm.common import keyed, ship, trim
 from tidegate.llm.components import components
+from tidegate.llm.sieve import split
 from tidegate.session import broadcast_if_small, discard, scratch, stored
 
 ship(__name__)
@@ -65,7 +67,7 @@ ROUNDS = 8
 BREAKS = breaks_of(0x20, *range(0x09, 0x0E))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _KEY = ["none", "oid", "a", "b"]
-NODES = "none boolean, oid long, a long, b long, node long, n int, slot int, k long"
+NODES = "none boolean, oid long, a long, b long, fp long, node long, n int, slot int, k long"
 BLOCKS = "shard long, packed binary"
 ENTRIES = "token long, node long, n int, pos int"
 
@@ -106,24 +108,31 @@ def _long(values) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key, hash and size of the set of every text; at last how many texts each slot has."""
+def _prints(texts: pa.Array, wanted: bool) -> pa.Array:
+    if not wanted:
+        return pa.nulls(len(texts), pa.int64())
+    return _long([simhash_dedup.fingerprint_of(t.as_py()) for t in texts])
+
+
+def _nodes(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+    """Key, fingerprint if wanted, hash and size of the set of every text; at last how many texts each
+    slot has."""
     held = np.zeros(SLOTS, np.int64)
-    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
-             pa.int64()]
-    names = [*_KEY, "node", "n", "slot", "k"]
+    kinds = [pa.bool_(), *[pa.int64()] * 5, pa.int32(), pa.int32(), pa.int64()]
+    names = [*_KEY, "fp", "node", "n", "slot", "k"]
     for batch in batches:
         for row, stop, sets in _texts(batch):
             for one in sets:
                 np.add.at(held, (one & np.uint64(SLOTS - 1)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c).slice(row, stop - row) for c in _KEY],
+                 _prints(batch.column("text").slice(row, stop - row), wanted),
                  _long([_node(one) for one in sets]), pa.array([len(s) for s in sets], pa.int32()),
                  pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())], names)
     trim()
     slots = np.flatnonzero(held)
     yield pa.RecordBatch.from_arrays(
-        [*[pa.nulls(len(slots), kind) for kind in kinds[:6]], pa.array(slots, pa.int32()),
+        [*[pa.nulls(len(slots), kind) for kind in kinds[:7]], pa.array(slots, pa.int32()),
          pa.array(held[slots])], names)
 
 
@@ -186,15 +195,6 @@ def _dropper(shards: int):
     return shared_entries
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The key of every row, its id and the hash of its text, beside the row and its text."""
-    text = body(F.col(f"`{text_col}`").cast("string"))
-    id_ = F.col(f"`{id_col}`").cast("long")
-    return df.select(id_.isNull().alias("none"), F.coalesce(id_, F.lit(0).cast("long")).alias("oid"),
-                     text_hash(text).alias("h"), text.cast("binary").alias("text"),
-                     F.struct("*").alias("row")).select("none", "oid", "h.a", "h.b", "text", "row")
-
-
 def entries(texts: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
     """The prefix entries of all sets where another set has the shingle as well, and the number of
     all prefix entries."""
@@ -258,23 +258,53 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(_verifier, "a long, b long")
 
 
-def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def alike(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints, those of the column ``fp``, multi-index hashing links:
+    one for each link, and one from each set to the smallest of the same fingerprint."""
+    prints = stored(nodes.where("slot is null and n > 0").select("fp", "node").distinct(), "near-prints")
+    least = prints.groupBy("fp").agg(F.min("node").alias("least"))
+    same = prints.join(least, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    links = simhash_dedup.links(prints)
+    ends = (least.toDF(side, f"n{side}") for side in "ab")
+    other = links.join(next(ends), "a").join(next(ends), "b").select("na", "nb")
+    return stored(same.union(other).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                  .where("a <> b").distinct(), "near-alike")
+
+
+def _renamed(live: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries with the components found so far, without the centre of their bucket."""
+    return (live.drop("comp", "cnode", "cn", "cpos")
+            .join(roots.select(F.col("u").alias("node"), "v"), "node", "left")
+            .withColumn("comp", F.coalesce("v", "node")).drop("v"))
+
+
+def groups(texts: DataFrame, nodes: DataFrame, fingerprints: bool = False) -> DataFrame:
     """(u, v): every linked node that is not the smallest of its component, and that smallest.
 
-    ``texts`` are rows of :func:`keyed`, ``nodes`` the stored rows of their sets.
+    ``texts`` are rows of :func:`keyed`, ``nodes`` the stored rows of their sets. With ``fingerprints``
+    the pairs of :func:`alike` are verified first; buckets that these make one component are done.
     """
     found: list[DataFrame] = []
+    seeds = alike(nodes) if fingerprints else None
     rows, total = entries(texts, nodes)
     shared = stored(rows.withColumn("comp", F.col("node")), "near-entries")
     live = stored(open_buckets(shared), "near-live")
     discard(shared)
-    one = nodes.where("slot is null").join(live.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+    wanted = live.select("node")
+    if seeds is not None:
+        wanted = wanted.union(seeds.select("a")).union(seeds.select("b"))
+    one = nodes.where("slot is null").join(wanted.distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct(*_KEY)).alias("key")).select("node", "key.*")
     # One text of each candidate: a narrow pass over the texts while the candidates are few.
     held = stored(texts.select(*_KEY, "text").join(
         broadcast_if_small(stored(one, "near-keys")), _KEY)
         .groupBy("node").agg(F.min("text").alias("text")), "near-texts")
     roots, rounds = None, 0
+    if seeds is not None:
+        found.append(stored(verified(seeds, held), "near-found"))
+        roots = components(found[0])
+        before, live = live, stored(open_buckets(_renamed(live, roots)), "near-live")
+        discard(before, seeds)
     while not live.isEmpty():
         # Pairs of a bucket across components, before what the sizes and places rule out.
         k = F.col("k")
@@ -298,9 +328,7 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         roots = components(reduce(DataFrame.union, found))
         if last:
             break
-        rest = (live.where("node <> cnode").drop("comp", "cnode", "cn", "cpos")
-                .join(roots.select(F.col("u").alias("node"), "v"), "node", "left")
-                .withColumn("comp", F.coalesce("v", "node")).drop("v"))
+        rest = _renamed(live.where("node <> cnode"), roots)
         before, live = live, stored(open_buckets(rest), "near-live")
         discard(before, pairs)
         rounds += 1
@@ -308,15 +336,31 @@ def groups(texts: DataFrame, nodes: DataFrame) -> DataFrame:
                                                        F.col("node").alias("v"))
 
 
-def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, one for each group."""
+def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    fingerprints: bool = False) -> DataFrame:
+    """The rows of ``df`` that stay, one for each group.
+
+    With ``fingerprints``, the groups are the same; they are first looked for by the multi-index hashing of
+    ``simhash_dedup``. Rows alone in their group, most of them, are not exchanged.
+    """
     rows = keyed(df, id_col, text_col)
-    with scratch(df.sparkSession, "near-first"):
-        nodes = stored(rows.select(*_KEY, "text").mapInArrow(_nodes, NODES), "near-nodes")
-        roots = groups(rows, nodes).select(F.col("u").alias("node"), "v")
-        first = stored(nodes.where("slot is null").select("node", *_KEY).join(roots, "node", "left")
-                       .groupBy(F.coalesce("v", "node").alias("root"))
-                       .agg(F.min(F.struct(*_KEY)).alias("first")).select("first.*"), "near-first")
+    with scratch(df.sparkSession, "near-first", "near-several"):
+        nodes = stored(rows.select(*_KEY, "text").mapInArrow(
+            lambda batches: _nodes(batches, fingerprints), NODES), "near-nodes")
+        roots = groups(rows, nodes, fingerprints).select("u", "v")
+        one = (nodes.where("slot is null").groupBy("node")
+               .agg(F.min(F.struct(*_KEY)).alias("first"), F.count(F.lit(1)).alias("n")))
+        rooted = stored(one.join(roots.toDF("node", "v"), "node", "left").select(
+            "node", F.coalesce("v", "node").alias("root"), "first", "n"), "near-roots")
+        first = stored(rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n")),
+                       "near-first")
+        shared = rooted.join(first.where("n > 1").select("root"), "root", "left_semi")
+        key = F.xxhash64(*_KEY)
+        several, _ = split(nodes.where("slot is null"), F.xxhash64("node"),
+                           shared.select(F.xxhash64("node").alias("key")))
+        several = stored(several.select(key.alias("key")).distinct(), "near-several")
+    some, alone = split(rows, key, several)
     # Equal rows meet by partial aggregation before they are dealt out.
-    return (rows.groupBy(*_KEY).agg(F.min("row").alias("row"))
-            .join(first, _KEY, "left_semi").select("row.*"))
+    kept = (some.groupBy(*_KEY).agg(F.min("row").alias("row"))
+            .join(first.select("first.*"), _KEY, "left_semi"))
+    return kept.select("row.*").union(alone.select("row.*"))

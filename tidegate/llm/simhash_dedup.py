@@ -46,7 +46,12 @@ BUCKET = 64
 
 def fingerprint(text: str) -> int:
     """The unsigned 64-bit fingerprint of one text."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return fingerprint_of(text.encode("utf-8", "surrogatepass"))
+
+
+def fingerprint_of(data: bytes) -> int:
+    """The fingerprint of a text given as UTF-8."""
+    words = data.lower().split()
     if not words:
         return 0
     if len(words) < SHINGLE:
