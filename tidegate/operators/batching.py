@@ -30,7 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_SIZE = 1000
 MAX_WAIT_SECONDS = 300
 NO_WAIT = 1 << 60
-CHUNK_ROWS = 1_000_000
+#: Messages that a Python task holds; a busier hub gives more tasks, not larger ones.
+CHUNK_ROWS = 200_000
 #: Chunk summaries composed by one task.
 FAN_IN = 256
 
