@@ -33,6 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Sequence numbers of one partition in a file, and in a task.
 SEGMENT = 500_000
+#: Messages in a row group: what a stretch reads besides its own. A trigger takes a small stretch of a long
+#: segment, and without this bound each of them would read the whole segment again.
+GROUP_ROWS = 5_000
 LATEST, EARLIEST = -1, -2
 _SEPARATOR = "/"
 
@@ -51,7 +54,8 @@ def store_hub(messages: DataFrame, path: str, segment: int = SEGMENT) -> None:
         "lane": F.md5(F.to_json(F.struct(*LANE_KEY)))})      # names need no escapes then
     folders = ["lane", "segment"]
     (placed.repartition(*folders).sortWithinPartitions(*folders, "sequence_number")
-     .write.partitionBy(*folders).parquet(f"{path}/data/{append}"))
+     .write.option("parquet.block.row.count.limit", GROUP_ROWS)
+     .partitionBy(*folders).parquet(f"{path}/data/{append}"))
     written = messages.sparkSession.read.schema(placed.schema).parquet(f"{path}/data/{append}")
     (written.groupBy(*LANE_KEY, *folders)
      .agg(F.min("sequence_number").alias("first"), F.max("sequence_number").alias("last"),
