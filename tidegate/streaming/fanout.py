@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ LEDGER = ("mapping_key string, run_id string, attempt int, state string, categor
 LANDED, PARKED = "landed", "parked"
 #: Seconds to wait after a failed attempt, doubling from the first.
 WAITS = (1, 60)
+#: Mappings delivered side by side: one of them has too few lanes in a micro-batch to use a cluster.
+AT_ONCE = 4
 
 
 def _utc_now() -> datetime:
@@ -29,7 +34,7 @@ def _utc_now() -> datetime:
 class FanOutSink:
     """``foreachBatch`` callback for prepared rows of many mappings.
 
-    A micro-batch is computed once and delivered mapping by mapping. What became of each is a row of
+    A micro-batch is computed once and delivered by mapping, a few side by side. What became of each is a row of
     the ledger, written after its data: a replay skips mappings that are settled and clears what an
     unsettled one left. The rows of a mapping that fails are parked, with the category of the failure
     and, if that is worth a retry, the time when it is due; the stream goes on. :meth:`retry` delivers
@@ -49,6 +54,7 @@ class FanOutSink:
     probe: Callable[[str | None, int, int], None] = field(default=lambda key, batch_id, n: None)
     #: The clock of the ledger.
     now: Callable[[], datetime] = field(default=_utc_now)
+    _ledger_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
@@ -56,10 +62,14 @@ class FanOutSink:
         rows = rows.persist()
         try:
             # As many as there are mappings; null stands for messages without a route.
-            for found in rows.select("mapping_key").distinct().collect():
-                if (found.mapping_key,) not in settled:
-                    mine = rows.where(F.col("mapping_key").eqNullSafe(F.lit(found.mapping_key)))
-                    self._deliver(mine, found.mapping_key, batch_id, 1)
+            keys = [r.mapping_key for r in rows.select("mapping_key").distinct().collect()
+                    if (r.mapping_key,) not in settled]
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                deliver = inheritable_thread_target(spark)(self._deliver)
+                sent = [pool.submit(deliver, rows.where(F.col("mapping_key").eqNullSafe(F.lit(key))),
+                                    key, batch_id, 1) for key in keys]
+            for one in sent:
+                one.result()
         finally:
             rows.unpersist()
 
@@ -90,8 +100,9 @@ class FanOutSink:
         return f"{self.parked}/{self.run_id}/batch_id={batch_id}/{(key or '-').encode().hex()}"
 
     def _log(self, spark: SparkSession, batch_id: int, row: tuple) -> None:
-        (spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append")
-         .parquet(f"{self.ledger}/batch_id={batch_id}"))
+        with self._ledger_lock:     # appends to one folder would remove each other's unfinished files
+            (spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append")
+             .parquet(f"{self.ledger}/batch_id={batch_id}"))
 
     def _own_ledger(self, spark: SparkSession, batch_id: int) -> list:
         try:
