@@ -68,3 +68,25 @@ def test_generated_runs(spark):
 def test_periodic_text(spark):
     rows = [(1, "\n".join(["same line again"] * 40)), (2, "\n".join(["a b", "c d"] * 30))]
     same_result(spark, rows, 9)
+
+
+def test_plan_does_not_grow_with_the_levels(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: plans.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    level = spark.createDataFrame([(1, 1, 0, 7)], "oid long, th long, at int, r long")
+    wanted = spark.createDataFrame([(1, 1, 0, 1)], "oid long, th long, start long, lines long")
+    line_dedup.later_copies(wanted, [level] * 2)
+    line_dedup.later_copies(wanted, [level] * 6)
+    assert [plan.count("Join ") for plan in plans] == [2, 2]
+
+
+def test_every_level_is_looked_up(spark):
+    depth = 6
+    levels = [spark.createDataFrame([(d, d, at, 100 * j + at) for d in (1, 2) for at in range(65 - (1 << j))],
+                                    "oid long, th long, at int, r long") for j in range(depth)]
+    spans = [(start, n) for n in (1, 2, 3, 4, 7, 8, 31, 32, 33, 63) for start in (0, 1)]
+    wanted = spark.createDataFrame([(d, d, start, n) for d in (1, 2) for start, n in spans],
+                                   "oid long, th long, start long, lines long")
+    found = line_dedup.later_copies(wanted, levels).collect()
+    assert sorted(map(tuple, found)) == sorted((2, 2, start, n) for start, n in spans)

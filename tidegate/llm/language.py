@@ -172,6 +172,8 @@ def fit(labels: list[str], texts: list[tuple[int, list[list[str]]]]) -> Model:
     inner[ends[:-1]] = False
     seen_moves = np.zeros((k, k))
     np.add.at(seen_moves, (truth[np.flatnonzero(inner) - 1], truth[inner]), 1)
+    count = len(rows)
+    del rows, number
     grams, begin = gram_rows(words)
     sizes = np.diff(np.concatenate([begin, [len(grams)]]))
     bits = np.zeros((len(words), k), np.float32)
@@ -191,7 +193,7 @@ def fit(labels: list[str], texts: list[tuple[int, list[list[str]]]]) -> Model:
                   bits.T @ of_word,
                   chance[ends[:-1]].sum(axis=0), pairs - seen_moves]
         for i, (part, slope) in enumerate(zip(parts, slopes, strict=True)):   # Adam
-            slope = slope / len(rows) + 1e-4 * part
+            slope = slope / count + 1e-4 * part
             first[i] = 0.9 * first[i] + 0.1 * slope
             second[i] = 0.99 * second[i] + 0.01 * slope ** 2
             part -= 0.1 * (first[i] / (1 - 0.9 ** step)
@@ -219,7 +221,14 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.transform(F.split("text", "\n"), lambda line: word_list(line))
     sample = (few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
               .select("lang", lines.alias("lines")).orderBy("lang", "n").collect())
-    return fit(labels, [(labels.index(r.lang), r.lines) for r in sample])
+    one: dict[str, str] = {}                        # a word is one object, however often it occurs
+    texts = [(labels.index(r.lang), [[one.setdefault(w, w) for w in line] for line in r.lines])
+             for r in sample]
+    del sample, one
+    model = fit(labels, texts)
+    del texts
+    trim()                                          # the driver goes on with other work
+    return model
 
 
 def _label(model: Model, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:

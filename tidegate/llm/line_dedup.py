@@ -110,17 +110,20 @@ def doubled(level: DataFrame, step: int) -> DataFrame:
 
 
 def later_copies(wanted: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """The windows that are not the first of their interval."""
-    named = []
-    for j, level in enumerate(levels):
-        step = 1 << j
-        here = wanted.where((F.col("lines") >= step) & (F.col("lines") < 2 * step))
-        head = level.select(*_DOC, F.col("at").alias("start"), F.col("r").alias("head"))
-        tail = level.select(*_DOC, (F.col("at") + step).alias("stop"), F.col("r").alias("tail"))
-        named.append(here.withColumn("stop", F.col("start") + F.col("lines"))
-                     .join(head, [*_DOC, "start"]).join(tail, [*_DOC, "stop"])
-                     .select(*_DOC, "start", "lines", "head", "tail"))
-    rows = stored(reduce(DataFrame.union, named), "line-windows")
+    """The windows that are not the first of their interval.
+
+    All levels are looked up by one pair of joins, so the plan, which the driver holds with a broadcast or
+    an exchange for each join, is the same for any number of levels.
+    """
+    ranks = reduce(DataFrame.union, [level.select(F.lit(j).alias("level"), *_DOC, "at", "r")
+                                     for j, level in enumerate(levels)])
+    longest = F.length(F.bin("lines")) - 1          # level of the longest ranked prefix that fits
+    named = (wanted.withColumns({"level": longest, "at": F.col("start")})
+             .join(ranks.withColumnRenamed("r", "head"), ["level", *_DOC, "at"])
+             .withColumn("at", F.col("start") + F.col("lines") - F.expr("shiftleft(1L, level)"))
+             .join(ranks.withColumnRenamed("r", "tail"), ["level", *_DOC, "at"])
+             .select(*_DOC, "start", "lines", "head", "tail"))
+    rows = stored(named, "line-windows")
     place = F.struct("oid", "th", "start")
     first = (rows.groupBy("lines", "head", "tail")
              .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
