@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 from data import SCHEMA
 from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from tidegate.llm import jaccard_dedup
+from tidegate.llm.arrow import unpack
 
 
 def plain_groups(texts):
@@ -100,3 +102,43 @@ def test_awkward_rows(spark):
     out = jaccard_dedup.first_of_groups(docs)
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [3, 4, 6, 8]
+
+
+def test_marks_bound_what_sets_share():
+    rng = random.Random(3)
+    for n, m, both in ((1, 1, 0), (1, 1, 1), (3, 4, 2), (127, 128, 100), (500, 610, 430),
+                       (2000, 2040, 0)):
+        a, b, c = (np.array(sorted(rng.getrandbits(64) for _ in range(k)), np.uint64)
+                   for k in (n - both, m - both, both))
+        a, b = np.sort(np.append(a, c)), np.sort(np.append(b, c))
+        bits = [np.cumsum(unpack(jaccard_dedup.mark(x))[0], dtype=np.int64) for x in (a, b)]
+        most = jaccard_dedup.most_shared(*bits)
+        assert both <= most <= both + 0.25 * min(n, m) + 1
+        assert jaccard_dedup.most_shared(bits[0], bits[0]) == n
+
+
+def test_copies_in_part_send_no_texts(spark, monkeypatch):
+    """Pairs alike to 0.73 meet by their first shingles; their marks rule them out, not their texts."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(14):
+        base = [f"w{rng.random()}" for _ in range(200)]
+        for copy in range(6):
+            words = list(base)
+            for at in (10, 70, 130):
+                words[at + 10 * copy] = f"e{rng.random()}"
+            texts.append(" ".join(words))
+    a, b = sets(*texts[:2])
+    assert 0.7 < len(set(a) & set(b)) / len(set(a) | set(b)) < 0.78
+    met, checked = [], []
+    for name, seen in (("able_pairs", met), ("verified", checked)):
+        def counted(pairs, other, real=getattr(jaccard_dedup, name, None), seen=seen):
+            seen.append((pairs.count(), other.count()))
+            return real(pairs, other)
+
+        monkeypatch.setattr(jaccard_dedup, name, counted, raising=False)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1, "r")
+                                  for i, t in enumerate([*texts, texts[0] + " end"])], SCHEMA)
+    assert jaccard_dedup.first_of_groups(docs).count() == 84
+    assert sum(pairs for pairs, _ in checked) <= 3 and max(held for _, held in checked) <= 4
+    assert sum(pairs for pairs, _ in met) >= 30

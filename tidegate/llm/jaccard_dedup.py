@@ -16,8 +16,10 @@ has are dropped; entries of shingles that are common by the table go on as they
 bucket (a shingle with several sets) is not compared pair by pair: for some rounds its first set is
 compared with the others and then leaves it, and a bucket whose sets are all of one component is done.
 Rounds go on while more pairs are left than ``LINEAR`` for each prefix entry of the
-corpus, ``ROUNDS`` at most; what is left then is compared pair by pair across components. Every pair is verified on the whole sets,
-recomputed from the texts of candidates only.
+corpus, ``ROUNDS`` at most; what is left then is compared pair by pair across components. A pair meets first
+with its marks, some bits of each shingle, which bound what two sets share from above: most candidates are
+copies in part, and are ruled out by a sixth of the bytes of their texts or less. Every other pair is verified
+on the whole sets, recomputed from the texts of such pairs only.
 
 Defined results: null, empty and blank texts have the empty set and are copies of each other; equal
 sets (64-bit hashes) count as one; of a group the row of the smallest id stays (null ids last), then
@@ -48,7 +50,7 @@ from tidegate.llm.arrow import (
 from tidegate.llm.common import keyed, ship, trim
 from tidegate.llm.components import components
 from tidegate.llm.sieve import split
-from tidegate.session import broadcast_if_small, discard, scratch, stored
+from tidegate.session import broadcast_if_small, discard, freed_shuffles, scratch, stored
 
 ship(__name__)
 
@@ -63,6 +65,8 @@ SLICE_BYTES = 4_000_000
 SHARD_ENTRIES = 1_500_000
 HOT = 100_000
 LINEAR = 5
+#: Bits of a shingle in a mark, beyond those that number the shingles of its set.
+MARK_BITS = 3
 ROUNDS = 8
 BREAKS = breaks_of(0x20, *range(0x09, 0x0E))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -233,6 +237,57 @@ def open_buckets(live: DataFrame) -> DataFrame:
     return able.join(several, "token")
 
 
+def mark(one: np.ndarray) -> bytes:
+    """The last bits of the hashes of a set, so many that few are equal by chance."""
+    bits = len(one).bit_length() + MARK_BITS
+    return pack(np.diff(np.sort(one & np.uint64((1 << bits) - 1)), prepend=np.uint64(0)))
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two sets share at most, from the sorted bits of their marks.
+
+    Equal shingles have equal bits, so the bits that both have, as often as both have them, are no fewer.
+    """
+    bits, sides = min(len(a), len(b)).bit_length() + MARK_BITS, []
+    for one in (a, b):
+        if len(one).bit_length() + MARK_BITS > bits:
+            one = np.sort(one & ((1 << bits) - 1))
+        sides.append(one << 32 | np.arange(len(one)) - np.searchsorted(one, one))
+    return len(np.intersect1d(*sides, assume_unique=True))
+
+
+def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, sets in _texts(batch):
+            sets = [one for one in sets if len(one)]
+            yield pa.RecordBatch.from_arrays(
+                [_long([_node(one) for one in sets]),
+                 pa.array([mark(one) for one in sets], pa.binary())], ["node", "mark"])
+    trim()
+
+
+def _able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    p, q = SIMILAR
+    for batch in batches:
+        sides = []
+        for name in ("ma", "mb"):
+            coded = batch.column(name).dictionary_encode()
+            sides.append(([np.cumsum(unpack(x)[0], dtype=np.int64)
+                           for x in coded.dictionary.to_pylist()], coded.indices.to_pylist()))
+        (a, ia), (b, ib) = sides
+        able = pa.array([most_shared(a[i], b[j]) * (p + q) >= p * (len(a[i]) + len(b[j]))
+                         for i, j in zip(ia, ib, strict=True)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(able),
+                                          batch.column("b").filter(able)], ["a", "b"])
+
+
+def able_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes without those whose marks rule out that their sets are similar."""
+    both = (pairs.join(marks.select(F.col("node").alias("a"), F.col("mark").alias("ma")), "a")
+            .join(marks.select(F.col("node").alias("b"), F.col("mark").alias("mb")), "b"))
+    return both.select("a", "b", "ma", "mb").mapInArrow(_able, "a long, b long")
+
+
 def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     p, q = SIMILAR
     for batch in batches:
@@ -278,6 +333,12 @@ def _renamed(live: DataFrame, roots: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("v", "node")).drop("v"))
 
 
+def _of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keys and texts of the rows that ``keys`` names, and of few others; nothing is exchanged."""
+    return split(texts.select(*_KEY, "text"), F.xxhash64(*_KEY),
+                 keys.select(F.xxhash64(*_KEY).alias("key")))[0]
+
+
 def groups(texts: DataFrame, nodes: DataFrame, fingerprints: bool = False) -> DataFrame:
     """(u, v): every linked node that is not the smallest of its component, and that smallest.
 
@@ -295,13 +356,27 @@ def groups(texts: DataFrame, nodes: DataFrame, fingerprints: bool = False) -> Da
         wanted = wanted.union(seeds.select("a")).union(seeds.select("b"))
     one = nodes.where("slot is null").join(wanted.distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct(*_KEY)).alias("key")).select("node", "key.*")
-    # One text of each candidate: a narrow pass over the texts while the candidates are few.
-    held = stored(texts.select(*_KEY, "text").join(
-        broadcast_if_small(stored(one, "near-keys")), _KEY)
-        .groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    # One text of each candidate, and of it a mark. No text without a candidate is exchanged, however
+    # many candidates there are, and of the texts of candidates only those of able pairs are.
+    one = stored(one, "near-keys")
+    marks = stored(_of_keys(texts, one).select("text").mapInArrow(_marker, "node long, mark binary")
+                   .groupBy("node").agg(F.min("mark").alias("mark")), "near-marks")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        able = stored(able_pairs(pairs, marks), "near-able")
+        if able.isEmpty():
+            return able
+        ends = able.select(F.col("a").alias("node")).union(able.select("b")).distinct()
+        keys = stored(one.join(ends, "node", "left_semi"), "near-keys")
+        held = stored(_of_keys(texts, keys).join(broadcast_if_small(keys), _KEY)
+                      .groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+        out = stored(verified(able, held), "near-found")
+        discard(held, keys, able)
+        return out
+
     roots, rounds = None, 0
     if seeds is not None:
-        found.append(stored(verified(seeds, held), "near-found"))
+        found.append(similar(seeds))
         roots = components(found[0])
         before, live = live, stored(open_buckets(_renamed(live, roots)), "near-live")
         discard(before, seeds)
@@ -324,7 +399,7 @@ def groups(texts: DataFrame, nodes: DataFrame, fingerprints: bool = False) -> Da
             pairs = live.where((F.col("node") != F.col("cnode")) & _fits("n", "pos", "cn", "cpos")
                                ).select(F.col("node").alias("a"), F.col("cnode").alias("b"))
         pairs = stored(pairs.distinct(), "near-pairs")
-        found.append(stored(verified(pairs, held), "near-found"))
+        found.append(similar(pairs))
         roots = components(reduce(DataFrame.union, found))
         if last:
             break
@@ -344,7 +419,7 @@ def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``simhash_dedup``. Rows alone in their group, most of them, are not exchanged.
     """
     rows = keyed(df, id_col, text_col)
-    with scratch(df.sparkSession, "near-first", "near-several"):
+    with scratch(df.sparkSession, "near-first", "near-several"), freed_shuffles(df.sparkSession):
         nodes = stored(rows.select(*_KEY, "text").mapInArrow(
             lambda batches: _nodes(batches, fingerprints), NODES), "near-nodes")
         roots = groups(rows, nodes, fingerprints).select("u", "v")

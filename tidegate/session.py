@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Largest side that is ever hinted as broadcast, in rows and in bytes.
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -115,6 +116,24 @@ def scratch(spark: SparkSession, *kept: str) -> Iterator[None]:
                 delete_folder(spark, path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of a query of this session as soon as it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and the disk holds those of
+    many queries. For blocks that compute each frame once: another run of it shuffles again.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame of any size to the shared folder and read it back, column by column.
 
